@@ -17,6 +17,7 @@ gives an empty result.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from collections.abc import Iterable, Iterator
 
@@ -212,6 +213,9 @@ class StreamDecoder:
     def __init__(self, bytes_of: dict[int, bytes]):
         size = max(bytes_of, default=-1) + 1
         self.table = [bytes_of.get(i, b"") for i in range(size)]
+        self.flat = np.frombuffer(b"".join(self.table), np.uint8)
+        self.length = np.array([len(t) for t in self.table], np.int64)
+        self.begin = np.cumsum(self.length) - self.length
         self.complete = np.zeros(size, bool)
         for i, chunk in enumerate(self.table):
             try:
@@ -223,9 +227,17 @@ class StreamDecoder:
     def reset(self) -> None:
         self.state, self.held = Utf8Machine.START, b""
 
-    def feed(self, ids: list[int]) -> bytes:
+    def _bytes(self, ids: np.ndarray) -> bytes:
+        if not len(ids):
+            return b""
+        length = self.length[ids]
+        ends = np.cumsum(length)
+        return self.flat[np.repeat(self.begin[ids] - ends + length, length) + np.arange(ends[-1])].tobytes()
+
+    def feed(self, ids: np.ndarray) -> bytes:
         """The bytes of all characters that are now complete."""
-        open_at = np.flatnonzero(~self.complete[np.asarray(ids, np.int64)]) if len(ids) else ()
+        ids = np.asarray(ids, np.int64)
+        open_at = np.flatnonzero(~self.complete[ids])
         state, k = self.state, -1
         for i in map(int, open_at):
             if state[0] and i != k + 1:
@@ -235,7 +247,7 @@ class StreamDecoder:
             raise ValueError("not UTF-8")
         if self.state[0] and len(ids) and (not len(open_at) or open_at[0] != 0):
             raise ValueError("not UTF-8")
-        data = self.held + b"".join(map(self.table.__getitem__, ids))
+        data = self.held + self._bytes(ids)
         keep = 0
         if state[0]:
             keep = next(n for n in range(1, 5) if data[-n] >= 0xC0)
@@ -254,26 +266,31 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class ChunkMemo(dict):
-    """Encoded chunks by their text. A chunk is cut where white space follows other text, which is always a piece
-    boundary of the pattern; a full memo starts anew."""
+    """Decimal ids and packed ids (little-endian 16- or 32-bit) of a space and a chunk, by the chunk. A full memo starts
+    anew."""
 
-    max_chunks = 600_000
+    max_chunks = 800_000
 
-    def __init__(self, encode, prefix: str = " "):
+    def __init__(self, encode):
         super().__init__()
-        self.encode, self.prefix = encode, prefix
-
-    def __missing__(self, chunk: str):
-        if len(self) >= self.max_chunks:
-            self.clear()
-        found = self.encode(self.prefix + chunk)
-        if len(chunk) <= 64:
-            self[chunk] = found
-        return found
+        self.encode = encode
+
+    def __missing__(self, chunk: str) -> tuple[str, bytes]:
+        return self.encode(" " + chunk)
+
+    def keep(self, chunk: str, ids: tuple[str, bytes]) -> None:
+        if len(chunk) <= 48:
+            if len(self) >= self.max_chunks:
+                self.clear()
+            self[chunk] = ids
 
 
 class BpeCodec:
-    """Encoder and decoder of one rank file and split pattern."""
+    """Encoder and decoder of one rank file and split pattern.
+
+    A text is cut where white space follows other text, which is always a piece boundary of the pattern, so that chunks
+    can be looked up without the pattern.
+    """
 
     def __init__(self, ranks_path: str, pattern: str):
         import regex
@@ -281,51 +298,54 @@ class BpeCodec:
         self.pattern = regex.compile(pattern)
         self.transducer = MergeTransducer(load_ranks(ranks_path))
         self.decoder = StreamDecoder(self.transducer.bytes_of)
+        self.packed = np.dtype("<u2" if len(self.decoder.table) <= 1 << 16 else "<u4")
         self._uneven = regex.compile(r"\s(?=\x20)|(?![\x09-\x0d\x20])\s")
         self._memo = ChunkMemo(self._chunk)
-        self._pieces: dict[str, tuple[int, ...]] = {}
-
-    def _chunk(self, chunk: str) -> tuple[str, tuple[int, ...]]:
-        ids: list[int] = []
-        for piece in self.pattern.findall(chunk):
-            known = self._pieces.get(piece)
-            if known is None:
-                known = tuple(self.transducer.encode_piece(piece.encode("utf-8")))
-                if len(self._pieces) >= ChunkMemo.max_chunks:
-                    self._pieces.clear()
-                if len(piece) <= 64:
-                    self._pieces[piece] = known
-            ids += known
-        return ",".join(map(str, ids)), tuple(ids)
-
-    def _encoded(self, text: str) -> list[tuple[str, tuple[int, ...]]]:
-        """Chunk by chunk: white space before a space, and rare white space, make a cut there unsafe."""
+        self._bare = ChunkMemo(self._chunk)
+
+    def _piece(self, piece: str) -> tuple[str, bytes]:
+        memo, key = (self._memo, piece[1:]) if piece[0] == " " and len(piece) > 1 else (self._bare, piece)
+        known = memo.get(key)
+        if known is None:
+            ids = self.transducer.encode_piece(piece.encode("utf-8"))
+            known = ",".join(map(str, ids)), np.array(ids, self.packed).tobytes()
+            memo.keep(key, known)
+        return known
+
+    def _chunk(self, chunk: str) -> tuple[str, bytes]:
+        pieces = self.pattern.findall(chunk)
+        out = [self._piece(piece) for piece in pieces]
+        if len(out) == 1:
+            return out[0]
+        found = ",".join([s for s, _ in out]), b"".join([p for _, p in out])
+        if len(out) == 2 and chunk[0] == " " and "\n" not in chunk:
+            self._memo.keep(chunk[1:], found)
+        return found
+
+    def _encoded(self, text: str) -> tuple[str, np.ndarray]:
+        """White space before a space, and rare white space, make a cut there unsafe."""
         if not text:
-            return []
-        if "  " in text or "\n " in text or self._uneven.search(text):
-            return [self._chunk(text)]
-        first, *rest = text.split(" ")
-        out = list(map(self._memo.__getitem__, rest))
-        if first:
-            out.insert(0, self._chunk(first))
-        return out
+            parts = []
+        elif "  " in text or "\n " in text or self._uneven.search(text):
+            parts = [self._chunk(text)]
+        else:
+            first, *rest = text.split(" ")
+            parts = [self._chunk(first)] if first else []
+            parts += map(self._memo.__getitem__, rest)
+        return ",".join([s for s, _ in parts]), np.frombuffer(b"".join([p for _, p in parts]), self.packed)
 
     def encode(self, text: str) -> list[int]:
-        return [i for _, ids in self._encoded(text) for i in ids]
+        return self._encoded(text)[1].tolist()
 
     def decode(self, ids: Iterable[int]) -> str:
         self.decoder.reset()
-        data = self.decoder.feed(list(ids))
+        data = self.decoder.feed(np.fromiter(ids, np.int64))
         self.decoder.finish()
         return data.decode("utf-8")
 
     def digest(self, text: str | None) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the joined ids, SHA-256 of what they decode to."""
-        parts = self._encoded(text or "")
-        joined = ",".join(s for s, _ in parts)
-        ids: list[int] = []
-        for _, more in parts:
-            ids += more
+        joined, ids = self._encoded(text or "")
         self.decoder.reset()
         data = self.decoder.feed(ids)
         self.decoder.finish()
@@ -340,6 +360,7 @@ def codec(ranks_path: str, pattern: str) -> BpeCodec:
     found = _CODECS.get((ranks_path, pattern))
     if found is None:
         _CODECS.clear()
+        gc.disable()  # the memos hold many tuples and no cycles; walking them again and again costs a tenth of the time
         found = _CODECS[ranks_path, pattern] = BpeCodec(ranks_path, pattern)
     return found
 
