@@ -2,10 +2,9 @@
 
 The merges are compiled into a nondeterministic transducer over bytes. A sequence of tokens is the BPE encoding
 of its bytes exactly when each token encodes to itself and every adjacent pair of tokens does, so a hypothesis needs
-only (tokens not yet emitted, last token, place in the token trie). Subset construction on those hypotheses runs
-lazily and keeps the subsets as states; what all hypotheses of a state agree on is emitted with the transition, so
-output lags by at most the lookahead that the vocabulary needs. Every prefix has at most one encoding, which bounds
-a subset by the longest token.
+only (last token, place in the token trie). Subset construction on those hypotheses runs lazily and keeps the subsets
+as states; a transition gives the one token that can end at its byte. What lies before the last token border that all
+hypotheses of a subset share is settled and emitted; the lookahead is bounded by what the vocabulary leaves open.
 
 Decoding streams ids through a table of token bytes and an incremental UTF-8 state machine.
 
@@ -27,6 +26,11 @@ from pyspark.sql import DataFrame
 from .shared import texts
 
 ROOT = 0
+#: A transition is a state above so many bits for a token.
+BITS = 20
+TOKEN = (1 << BITS) - 1
+#: Bytes after which settled tokens are emitted.
+FLUSH = 4096
 
 
 class MergeTransducer:
@@ -54,6 +58,10 @@ class MergeTransducer:
                     self.inner.append(False)
                 node = nxt
             self.token_at[node] = rank
+        self.depth = [0] * len(self.token_at)
+        for key, node in self.child.items():  # parents come before their children
+            self.depth[node] = self.depth[key >> 8] + 1
+        self.length = {i: len(t) for t, i in ranks.items()}
         self._itself: dict[int, bool] = {}
         self._pairs: dict[tuple[int, int], bool] = {}
         self._split: dict[int, tuple[int, int] | None] = {}
@@ -62,8 +70,8 @@ class MergeTransducer:
     def _reset(self) -> None:
         self._ids: dict[tuple, int] = {}
         self._states: list[tuple] = []
-        self._moves: dict[int, tuple[tuple[int, ...], int]] = {}
-        self.start = self._state((((), -1, ROOT),))
+        self._moves: dict[int, int] = {}
+        self.start = self._state(((-1, ROOT),))
 
     def _state(self, hypotheses: tuple) -> int:
         k = self._ids.setdefault(hypotheses, len(self._states))
@@ -128,34 +136,26 @@ class MergeTransducer:
         self._pairs[a, b] = apart
         return apart
 
-    def _move(self, state: int, byte: int) -> tuple[tuple[int, ...], int]:
-        """Hypotheses stay in the order of where their open token begins, so equal subsets are equal tuples."""
-        child, token_at, inner = self.child, self.token_at, self.inner
-        live, closed = [], None
-        for pending, last, node in self._states[state]:
+    def _move(self, state: int, byte: int) -> int:
+        """Next state, packed above the token that ends here (plus one; 0 if none does).
+
+        Hypotheses stay in the order of where their open token begins, so equal subsets are equal tuples.
+        """
+        child, inner = self.child, self.inner
+        live, closed = [], -1
+        for last, node in self._states[state]:
             nxt = child.get(node << 8 | byte)
             if nxt is None:
                 continue
             if inner[nxt]:
-                live.append((pending, last, nxt))
-            if closed is None:  # a prefix has one encoding at most
-                token = token_at[nxt]
-                if token >= 0 and self._stands(token) and (last < 0 or self._adjacent(last, token)):
-                    closed = (pending + (token,), token, ROOT)
-        if closed:
-            live.append(closed)
-        if not live or not live[0][0]:
-            return (), self._state(tuple(live))
-        out = live[0][0]
-        for p, _, _ in live[1:]:
-            n = 0
-            for x, y in zip(out, p, strict=False):
-                if x != y:
-                    break
-                n += 1
-            out = out[:n]
-        n = len(out)
-        return out, self._state(tuple([(p[n:], last, node) for p, last, node in live]) if n else tuple(live))
+                live.append((last, nxt))
+            if closed < 0:  # a prefix has one encoding at most
+                token = self.token_at[nxt]
+                if token >= 0 and (last < 0 or self._adjacent(last, token)) and self._stands(token):
+                    closed = token
+        if closed >= 0:
+            live.append((closed, ROOT))
+        return self._state(tuple(live)) << BITS | closed + 1
 
     def encode_piece(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
@@ -164,18 +164,43 @@ class MergeTransducer:
         if len(self._states) > self.max_states:
             self._reset()
         out: list[int] = []
-        state, moves = self.start, self._moves
+        closed: list[int] = []
+        state, moves, due = self.start, self._moves, FLUSH
         for byte in piece:
             step = moves.get(state << 8 | byte)
             if step is None:
                 step = moves[state << 8 | byte] = self._move(state, byte)
-            if step[0]:
-                out += step[0]
-            state = step[1]
-        for pending, _, node in self._states[state]:
-            if node == ROOT:
-                return out + list(pending)
-        raise ValueError("the vocabulary lacks some single byte")
+            closed.append(step & TOKEN)
+            state = step >> BITS
+            if len(closed) >= due:
+                cut = self._agreed(state, closed)
+                out += self._settled(closed[:cut])
+                del closed[:cut]
+                due = len(closed) + FLUSH
+        return out + self._settled(closed)
+
+    def _agreed(self, state: int, closed: list[int]) -> int:
+        """The last token border that the chains of all hypotheses share."""
+        borders: set[int] | None = None
+        for _, node in self._states[state]:
+            at, own = len(closed) - self.depth[node], set()
+            while at > 0:
+                own.add(at)
+                at -= self.length[closed[at - 1] - 1]
+            borders = own if borders is None else borders & own
+        return max(borders or (), default=0)
+
+    def _settled(self, closed: list[int]) -> list[int]:
+        """The tokens of a stretch, from the one that ends it back to its beginning."""
+        out, at, length = [], len(closed), self.length
+        while at > 0:
+            token = closed[at - 1] - 1
+            if token < 0:
+                raise ValueError("the vocabulary lacks some single byte")
+            out.append(token)
+            at -= length[token]
+        out.reverse()
+        return out
 
 
 class Utf8Machine:
