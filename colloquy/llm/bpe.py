@@ -37,7 +37,7 @@ class MergeTransducer:
     """Encodes byte strings by ranks, as repeated lowest-rank-first merging does."""
 
     #: States, pairs and pieces kept; beyond that a cache starts anew, which changes no result.
-    max_states = 200_000
+    max_states = 400_000
     max_pairs = 2_000_000
 
     def __init__(self, ranks: dict[bytes, int]):

@@ -40,10 +40,24 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents")).drop("bucket")
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import scan
+
+    return scan(_table(spark, sf_dir, "documents"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+
+    return pack(_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op3_secrets": op3_secrets,
     "op5_quality": op5_quality,
     "op6_exact_dedup": op6_exact_dedup,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
