@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import sql
 
@@ -40,12 +41,40 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents")).drop("bucket")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import dedup_lines
+
+    out = dedup_lines(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secrets import scan
 
     return scan(_table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .classifier import classify, graded
+
+    return classify(_table(spark, sf_dir, "documents"), graded(_table(spark, sf_dir, "labels")))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import identify
+
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    out = identify(docs, ~held_out)
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -54,13 +83,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_line_dedup": op2_line_dedup,
     "op3_secrets": op3_secrets,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_quality": op5_quality,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op9_language_id": op9_language_id,
     "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_line_dedup": sql.LINE_DEDUP,
     "op5_quality": sql.QUALITY,
     "op6_exact_dedup": sql.EXACT_DEDUP,
 }

@@ -44,3 +44,13 @@ SELECT v.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND inside AS kept
 FROM v JOIN x USING (doc_id)
 """
+
+LINE_DEDUP = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+l AS (SELECT doc_id, body, generate_subscripts(lines, 1) AS i, unnest(lines) AS line FROM (SELECT *, string_split(body, chr(10)) AS lines FROM d)),
+t AS (SELECT *, array_to_string(list_filter(regexp_split_to_array(regexp_replace(line, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), '[\x20\x09-\x0D]+'), lambda x: x <> ''), ' ') AS path FROM l),
+o AS (SELECT path FROM t WHERE path <> '' GROUP BY path HAVING count(DISTINCT doc_id) >= 5)
+SELECT doc_id, count(*) AS n_lines, count(o.path) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (o.path IS NULL), '')) AS text_sha256
+FROM t LEFT JOIN o USING (path) GROUP BY doc_id
+"""
