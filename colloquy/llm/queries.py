@@ -66,6 +66,12 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_table(spark, sf_dir, "documents"), graded(_table(spark, sf_dir, "labels")))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import similar_components
+
+    return similar_components(_table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import identify
 
@@ -89,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": op5_quality,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_ngram_join": op8_ngram_join,
     "op9_language_id": op9_language_id,
     "op10_packing": op10_packing,
 }
