@@ -1,7 +1,224 @@
-"""All queries of the dialogue engine, with the SQL that each must agree with."""
+"""All queries of the dialogue engine, with the SQL that each must agree with.
+
+The driver's tables hold no tool calls, so ``events`` stands in for them: an event is a turn, its type the tool, the
+integer in ``props`` the argument that is expected, and a rule on event_id gives what is predicted.
+"""
 
 from __future__ import annotations
 
-FLAGSHIP = ""
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import privacy
+from ..functions.text import branch_of, collapse_space, json_string, split_side
+from ..functions.tool_calls import blocks, reply, unclosed
+from ..operators import dialogues as D
+from ..operators import scoring as S
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def structure(spark, d):
+    rows = D.gathered(_t(spark, d, "conversations"))
+    return rows.select("conv_id", D.structure(F.col("messages")).alias("error"))
+
+
+def fingerprints(spark, d):
+    return D.gathered(_t(spark, d, "conversations")).select("conv_id", D.fingerprint(F.col("messages")).alias("fp"))
+
+
+def conversation_split(spark, d):
+    rows = D.first_of(fingerprints(spark, d), "fp", "conv_id")
+    return D.split(rows).groupBy("side").agg(F.count("*").alias("n"))
+
+
+def document_dedup(spark, d):
+    rows = _t(spark, d, "documents").select("doc_id", F.sha2(collapse_space(F.col("text")), 256).alias("fp"))
+    return D.first_of(rows, "fp", "doc_id")
+
+
+def document_split(spark, d):
+    return document_dedup(spark, d).select("doc_id", split_side(F.col("fp")).alias("side"))
+
+
+def census(spark, d):
+    return D.census(_t(spark, d, "conversations"))
+
+
+def chat_records(spark, d):
+    rows = D.gathered(_t(spark, d, "conversations"))
+    one = F.transform("messages", lambda m: F.concat(F.lit('{"role": '), json_string(m["role"]), F.lit(', "content": '), json_string(m["content"]), F.lit("}")))
+    return rows.select("conv_id", F.concat(F.lit('{"messages": ['), F.array_join(one, ", "), F.lit("]}")).alias("record"))
+
+
+def turn_examples(spark, d):
+    return D.examples(_t(spark, d, "conversations"))
+
+
+def token_rollup(spark, d):
+    return D.rollup(turn_examples(spark, d))
+
+
+def length_filter(spark, d):
+    return token_rollup(spark, d).select("conv_id", F.when(F.col("longest_example") <= 1024, "kept").otherwise("dropped").alias("status"))
+
+
+def longest_dialogues(spark, d):
+    return token_rollup(spark, d).orderBy(F.desc("longest_example"), "conv_id").limit(10)
+
+
+def length_percentiles(spark, d):
+    return D.percentiles(_t(spark, d, "documents"), "n_chars", (0.0, 0.5, 0.9, 1.0))
+
+
+def length_histogram(spark, d):
+    return D.histogram(_t(spark, d, "documents"), "n_chars", (256, 512, 1024, 2048, 4096))
+
+
+def length_fits(spark, d):
+    return D.threshold_fits(_t(spark, d, "documents"), "n_chars", (1024, 2048, 4096, 8192))
+
+
+def _calls(spark, d):
+    e = _t(spark, d, "events").select("event_id", "user_id", "event_type", F.get_json_object("props", "$.k").alias("k"))
+    want = e.where("event_id % 3 <> 0").select(F.col("event_id").alias("turn_id"), F.lit("expected").alias("side"), F.col("event_type").alias("name"), F.col("k").alias("eq"), F.lit(0).alias("pos"))
+    name = F.when(F.col("event_id") % 11 == 0, "other").otherwise(F.col("event_type"))
+    eq = F.when(F.col("event_id") % 5 == 0, "0").otherwise(F.col("k"))
+    got = e.where("event_id % 7 <> 0").select(F.col("event_id").alias("turn_id"), F.lit("predicted").alias("side"), name.alias("name"), eq.alias("eq"), F.lit(0).alias("pos"))
+    return want.unionByName(got)
+
+
+def _judged(spark, d):
+    e = _t(spark, d, "events")
+    turns = e.select(F.col("event_id").alias("turn_id"), branch_of(F.concat(F.col("event_type"), F.lit("-"), F.col("user_id").cast("string"))).alias("branch"), (F.col("event_id") % 13 == 0).cast("bigint").alias("malformed"))
+    return S.judged_turns(turns, S.paired(_calls(spark, d)))
+
+
+def call_pairs(spark, d):
+    return S.paired(_calls(spark, d))
+
+
+def call_arguments(spark, d):
+    rows = _calls(spark, d).withColumn("args", F.array(F.concat(F.lit("k="), F.coalesce("eq", F.lit("")))))
+    return S.argument_matches(rows.withColumn("eq", F.coalesce("eq", F.lit(""))))
+
+
+def score_overall(spark, d):
+    return S.report(_judged(spark, d))
+
+
+def score_by_branch(spark, d):
+    return S.report(_judged(spark, d), "branch")
+
+
+def score_by_tool(spark, d):
+    return S.by_tool(call_pairs(spark, d))
+
+
+def wrong_turns(spark, d):
+    return _judged(spark, d).where("NOT correct").orderBy("turn_id").limit(20).select("turn_id", "branch", "expected", "predicted")
+
+
+def _outputs(spark, d):
+    return _t(spark, d, "events").select("event_id", F.concat(F.lit(" Sure. "), F.when(F.col("event_id") % 4 == 0, "").otherwise(F.concat(F.lit("<tool_call>\n"), "props", F.lit("\n</tool_call>"))), F.when(F.col("event_id") % 6 == 0, " more <tool_call>{cut").otherwise(" end ")).alias("raw"))
+
+
+def tool_call_blocks(spark, d):
+    return _outputs(spark, d).select("event_id", F.size(blocks(F.col("raw"))).cast("bigint").alias("n_blocks"), reply(F.col("raw")).alias("content"), unclosed(F.col("raw")).alias("cut"))
+
+
+def detectors(spark, d):
+    rows = _t(spark, d, "documents").select(F.explode(privacy.detected(F.col("text"))).alias("kind", "n"))
+    return rows.groupBy("kind").agg(F.sum("n").alias("n"))
+
+
+def stand_ins(spark, d):
+    rows = _t(spark, d, "customer").select("c_custkey", privacy.fake_number("account_number", F.col("c_name"), "s").alias("n"))
+    return rows.select("c_custkey", F.lpad((F.col("n") % 100_000_000).cast("string"), 8, "0").alias("account"))
+
+
+def verbatim_leakage(spark, d):
+    """Texts of the eval side that occur as a text of the train side."""
+    rows = _t(spark, d, "conversations").select("conv_id", F.col("text").alias("t"), split_side(F.col("conv_id").cast("string")).alias("side")).where("role = 'assistant'")
+    return rows.where("side = 'eval'").join(rows.where("side = 'train'").select("t"), "t", "left_semi").agg(F.count("*").alias("leaked"))
+
+
+FLAGSHIP = "score_by_tool"
+QUERIES = {
+    f.__name__: f
+    for f in (
+        structure, fingerprints, conversation_split, document_dedup, document_split, census, chat_records, turn_examples, token_rollup, length_filter,
+        longest_dialogues, length_percentiles, length_histogram, length_fits, call_pairs, call_arguments, score_overall, score_by_branch, score_by_tool,
+        wrong_turns, tool_call_blocks, detectors, stand_ins, verbatim_leakage,
+    )
+}
+
+_FP_CONV = r"""SELECT conv_id, sha256('{"messages": [' || string_agg('["' || role || '", ' || to_json(trim(regexp_replace(text, '\s+', ' ', 'g')))::VARCHAR || ', []]', ', ' ORDER BY turn) || '], "tools": []}') AS fp FROM conversations GROUP BY 1"""
+_FP_DOC = r"SELECT doc_id, sha256(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS fp FROM documents"
+_SIDE = "CASE WHEN ('0x' || substr(sha256('v1:' || {0}), 1, 16))::UBIGINT::DOUBLE / 18446744073709551616.0 < 0.1 THEN 'eval' ELSE 'train' END"
+_EX = """SELECT conv_id, turn, before + 13 AS prompt_tokens, length(text) + 8 AS target_tokens FROM (
+ SELECT *, coalesce(sum(length(role) + length(text) + 12) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+ FROM conversations) WHERE role = 'assistant'"""
+_ROLL = f"""SELECT conv_id, count(*) AS examples, max(prompt_tokens + target_tokens) AS longest_example, sum(prompt_tokens + target_tokens)::BIGINT AS epoch_tokens,
+ sum(target_tokens)::BIGINT AS trained_tokens FROM ({_EX}) GROUP BY 1"""
+_CALLS = """SELECT event_id AS turn_id, 'expected' AS side, event_type AS name, json_extract_string(props, '$.k') AS eq FROM events WHERE event_id % 3 <> 0
+ UNION ALL SELECT event_id, 'predicted', CASE WHEN event_id % 11 = 0 THEN 'other' ELSE event_type END, CASE WHEN event_id % 5 = 0 THEN '0' ELSE json_extract_string(props, '$.k') END
+ FROM events WHERE event_id % 7 <> 0"""
+_PAIRS = f"""SELECT turn_id, name, sum(e)::BIGINT AS expected, sum(p)::BIGINT AS predicted, sum(least(e, p))::BIGINT AS exact, least(sum(e), sum(p))::BIGINT AS name_matches FROM (
+ SELECT turn_id, name, eq, count(*) FILTER (side = 'expected') AS e, count(*) FILTER (side = 'predicted') AS p FROM ({_CALLS}) GROUP BY ALL) GROUP BY ALL"""
+_JUDGED = f"""SELECT *, malformed = 0 AND expected = predicted AND expected = exact AS correct, (predicted > 0 OR malformed > 0) AND expected = 0 AS false_fire,
+ NOT (predicted > 0 OR malformed > 0) AND expected > 0 AS missed FROM (
+ SELECT event_id AS turn_id, event_type AS branch, (event_id % 13 = 0)::BIGINT AS malformed, coalesce(expected, 0)::BIGINT AS expected, coalesce(predicted, 0)::BIGINT AS predicted,
+        coalesce(exact, 0)::BIGINT AS exact, coalesce(name_matches, 0)::BIGINT AS name_matches
+ FROM events LEFT JOIN (SELECT turn_id, sum(expected) AS expected, sum(predicted) AS predicted, sum(exact) AS exact, sum(name_matches) AS name_matches FROM ({_PAIRS}) GROUP BY 1) ON event_id = turn_id)"""
+_TOTAL = """count(*) AS turns, count(*) FILTER (correct) AS correct_turns, count(*) FILTER (false_fire) AS false_fire_turns, count(*) FILTER (missed) AS missed_turns,
+ sum(malformed)::BIGINT AS malformed, sum(expected)::BIGINT AS expected, sum(predicted)::BIGINT AS predicted, sum(exact)::BIGINT AS exact, sum(name_matches)::BIGINT AS name_matches"""
+_RATES = "exact::DOUBLE / nullif(expected, 0) AS exact_recall, name_matches::DOUBLE / nullif(predicted, 0) AS name_precision"
+_OUT = """SELECT event_id, ' Sure. ' || CASE WHEN event_id % 4 = 0 THEN '' ELSE '<tool_call>' || chr(10) || props || chr(10) || '</tool_call>' END
+ || CASE WHEN event_id % 6 = 0 THEN ' more <tool_call>{cut' ELSE ' end ' END AS raw FROM events"""
+_DOC_FIRST = f"SELECT min(doc_id) AS doc_id, fp FROM ({_FP_DOC}) GROUP BY fp"
+
+ORACLE_SQL = {
+    "structure": """SELECT conv_id, CASE WHEN arg_min(role, turn) NOT IN ('system', 'user') THEN 'must open with a system or user message'
+        WHEN bool_or(role = 'system' AND turn > 0) THEN 'a system message may only come first' WHEN arg_max(role, turn) <> 'assistant' THEN 'must end with an assistant message'
+        WHEN bool_or(role = 'tool') THEN 'tool result without a pending call' END AS error FROM conversations GROUP BY 1""",
+    "fingerprints": _FP_CONV,
+    "conversation_split": f"SELECT {_SIDE.format('fp')} AS side, count(*) AS n FROM (SELECT DISTINCT fp FROM ({_FP_CONV})) GROUP BY 1",
+    "document_dedup": _DOC_FIRST,
+    "document_split": f"SELECT doc_id, {_SIDE.format('fp')} AS side FROM ({_DOC_FIRST})",
+    "census": """SELECT count(DISTINCT conv_id) AS dialogues, count(*) AS messages, count(*) FILTER (role = 'assistant') AS assistant_messages,
+        count(*) FILTER (role = 'tool') AS tool_messages FROM conversations""",
+    "chat_records": """SELECT conv_id, '{"messages": [' || string_agg('{"role": "' || role || '", "content": ' || to_json(text)::VARCHAR || '}', ', ' ORDER BY turn) || ']}' AS record
+        FROM conversations GROUP BY 1""",
+    "turn_examples": _EX,
+    "token_rollup": _ROLL,
+    "length_filter": f"SELECT conv_id, CASE WHEN longest_example <= 1024 THEN 'kept' ELSE 'dropped' END AS status FROM ({_ROLL})",
+    "longest_dialogues": f"SELECT * FROM ({_ROLL}) ORDER BY longest_example DESC, conv_id LIMIT 10",
+    "length_percentiles": """SELECT f::DOUBLE AS fraction, s[round_even(f * (len(s) - 1), 0)::BIGINT + 1] AS value
+        FROM (SELECT list(n_chars ORDER BY n_chars) AS s FROM documents), (SELECT unnest([0.0, 0.5, 0.9, 1.0]::DOUBLE[]) AS f)""",
+    "length_histogram": """SELECT bucket, count(n_chars) AS n FROM (VALUES ('0-255', 0, 256), ('256-511', 256, 512), ('512-1023', 512, 1024), ('1024-2047', 1024, 2048), ('2048-4095', 2048, 4096),
+        ('4096+', 4096, 1000000000)) b(bucket, lo, hi) LEFT JOIN documents ON n_chars >= lo AND n_chars < hi GROUP BY 1""",
+    "length_fits": "SELECT threshold, count(*) FILTER (n_chars <= threshold) AS fits FROM documents, (SELECT unnest([1024, 2048, 4096, 8192]) AS threshold) GROUP BY 1",
+    "call_pairs": _PAIRS,
+    "call_arguments": f"""SELECT turn_id, name, min(least(e, p))::BIGINT AS expected_arguments, sum(s)::BIGINT AS matched_arguments FROM (
+        SELECT turn_id, name, sum(e) OVER w AS e, sum(p) OVER w AS p, least(e, p) AS s FROM (SELECT turn_id, name, eq, count(*) FILTER (side = 'expected') AS e,
+        count(*) FILTER (side = 'predicted') AS p FROM ({_CALLS}) GROUP BY ALL) WINDOW w AS (PARTITION BY turn_id, name)) WHERE least(e, p) > 0 GROUP BY ALL""",
+    "score_overall": f"SELECT *, correct_turns::DOUBLE / nullif(turns, 0) AS turn_accuracy, {_RATES} FROM (SELECT {_TOTAL} FROM ({_JUDGED}))",
+    "score_by_branch": f"SELECT *, correct_turns::DOUBLE / nullif(turns, 0) AS turn_accuracy, {_RATES} FROM (SELECT branch, {_TOTAL} FROM ({_JUDGED}) GROUP BY 1)",
+    "score_by_tool": f"""SELECT *, {_RATES} FROM (SELECT name, sum(expected)::BIGINT AS expected, sum(predicted)::BIGINT AS predicted, sum(exact)::BIGINT AS exact,
+        sum(name_matches)::BIGINT AS name_matches FROM ({_PAIRS}) GROUP BY 1)""",
+    "wrong_turns": f"SELECT turn_id, branch, expected, predicted FROM ({_JUDGED}) WHERE NOT correct ORDER BY turn_id LIMIT 20",
+    "tool_call_blocks": rf"""SELECT event_id, len(regexp_extract_all(raw, '(?s)<tool_call>(.*?)</tool_call>'))::BIGINT AS n_blocks,
+        trim(regexp_replace(rest, '(?s)<tool_call>.*$', '')) AS content, CASE WHEN instr(rest, '<tool_call>') > 0 THEN trim(substr(rest, instr(rest, '<tool_call>') + 11)) END AS cut
+        FROM (SELECT *, regexp_replace(raw, '(?s)<tool_call>.*?</tool_call>', '', 'g') AS rest FROM ({_OUT}))""",
+    "stand_ins": "SELECT c_custkey, lpad((('0x' || substr(sha256('s:account_number:' || lower(c_name)), 1, 12))::UBIGINT % 100000000)::VARCHAR, 8, '0') AS account FROM customer",
+    "verbatim_leakage": f"""WITH r AS (SELECT text, {_SIDE.format('conv_id::VARCHAR')} AS side FROM conversations WHERE role = 'assistant')
+        SELECT count(*) AS leaked FROM r WHERE side = 'eval' AND text IN (SELECT text FROM r WHERE side = 'train')""",
+    "detectors": r"""SELECT kind, sum(n)::BIGINT AS n FROM (SELECT unnest(['email', 'iban', 'uuid', 'card_number', 'account_number']) AS kind,
+        unnest([len(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}')), len(regexp_extract_all(text, '\b[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}\b')),
+        len(regexp_extract_all(text, '\b[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}\b')),
+        len(list_filter(regexp_extract_all(text, '[0-9.]+'), lambda x: regexp_full_match(x, '[0-9]{13,19}'))),
+        len(list_filter(regexp_extract_all(text, '[0-9.]+'), lambda x: regexp_full_match(x, '[0-9]{8}')))]) AS n FROM documents) GROUP BY 1""",
+}
