@@ -25,8 +25,11 @@ from pyspark.sql import functions as F
 from .components import components
 from .shared import Roller, arrow_bytes, mix, texts, word_hashes, word_spans, written
 
-#: Tokens below this share of the hash range are counted over all nodes; 40 % holds nearly every prefix of 15 %.
-COUNTED = 0.4
+#: Tokens below this share of the hash range are counted over all nodes; the rest comes first in the order. 60 % holds a
+#: prefix of 15 % even of a node of which three quarters are frequent tokens.
+COUNTED = 0.6
+#: 64-bit words of a parity bitmap, which bounds what two sets can share.
+BITMAP = 16
 #: The table of frequent tokens: least count, and entries at most (8 bytes each, sent to all executors).
 FREQUENT, FREQUENT_ENTRIES = 12, 500_000
 #: Keys up to this number (12 bytes each) are sent to all executors to select texts; more are joined by a shuffle.
@@ -169,7 +172,11 @@ def _prefixes(size: int, percent: int, frequent):
             head = np.concatenate([[0], np.cumsum(np.minimum(prefix_length(n, percent), n))])
             group = _sum_by_row(head, mix(tokens[own], 0x3C6EF372)) ^ mix(n.astype(np.uint64), 0xA54FF53A)
             lists = pa.ListArray.from_arrays(pa.array(head.astype(np.int32)), pa.array(tokens[own].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(n), pa.array(group.view(np.int64)), lists], ["node", "n", "gid", "tokens"])
+            bit = (tokens >> np.uint64(8)) & np.uint64(64 * BITMAP - 1)
+            odd = np.bincount(row * 64 * BITMAP + bit.astype(np.int64), minlength=len(n) * 64 * BITMAP).astype(np.uint8) & 1
+            words = np.packbits(odd.reshape(-1, 64), axis=1, bitorder="little").reshape(-1).view("<i8")
+            bits = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * BITMAP), pa.array(words))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(n), pa.array(group.view(np.int64)), lists, bits], ["node", "n", "gid", "tokens", "bits"])
 
     return run
 
@@ -220,12 +227,18 @@ class _Join:
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of nodes whose whole sets are similar enough."""
         pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "pairs")
+        # Sets that differ in d places of their bitmaps differ in d tokens at least.
+        side = lambda k, x: self.bitmaps.select(F.col("node").alias(x), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"b{k}"))
+        apart = F.aggregate(F.zip_with("b1", "b2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+        both = pairs.join(side(1, "a"), "a").join(side(2, "b"), "b")
+        most = F.col("n1") + F.col("n2") - apart  # twice what they can share
+        pairs = written(both.where((100 + self.percent) * most >= 2 * self.percent * (F.col("n1") + F.col("n2"))).select("a", "b"), "likely")
         some = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        sets = self.texts_of(self.nodes.join(some, "node")).mapInArrow(_sets(self.size), "node long, tokens array<long>").dropDuplicates(["node"])
+        sets = self.texts_of(self.nodes.join(some, "node")).mapInArrow(_sets(self.size), "node long, tokens array<long>")
         sets = written(sets, "sets")
         both = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
         found = both.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long, same long, sizes long")
-        return written(found.where(100 * F.col("same") >= self.percent * (F.col("sizes") - F.col("same"))).select("a", "b"), "links")
+        return written(found.where(100 * F.col("same") >= self.percent * (F.col("sizes") - F.col("same"))).select("a", "b").distinct(), "links")
 
     def sizes_agree(self) -> Column:
         return 100 * F.least("n1", "n2") >= self.percent * F.greatest("n1", "n2")
@@ -233,8 +246,9 @@ class _Join:
     def links(self) -> DataFrame:
         spark = self.nodes.sparkSession
         frequent = spark.sparkContext.broadcast(frequent_tokens(self.texts_of(self.nodes), self.size))
-        prefixed = self.texts_of(self.nodes).mapInArrow(_prefixes(self.size, self.percent, frequent), "node long, n long, gid long, tokens array<long>")
+        prefixed = self.texts_of(self.nodes).mapInArrow(_prefixes(self.size, self.percent, frequent), "node long, n long, gid long, tokens array<long>, bits array<long>")
         prefixed = written(prefixed, "prefixes")
+        self.bitmaps = written(prefixed.select("node", "n", "bits").dropDuplicates(["node"]), "bitmaps")
         members = prefixed.select("node", "n", "gid").distinct()
         leads = written(prefixed.groupBy("gid").agg(F.min("node").alias("node"), F.max("n").alias("n")), "leads")
         postings = prefixed.join(leads.select("node"), "node", "left_semi").select(F.explode("tokens").alias("token"), "gid", "n")
