@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .shared import Roller, arrow_bytes, mix
 
 #: Bits of the hashed space, labelled rows at most, documents in which a slot must occur, passes, step and shrinkage.
-BITS, SAMPLE, LEAST_DF, PASSES, STEP, SHRINK = 20, 12_000, 4, 12, 0.15, 1e-5
+BITS, SAMPLE, LEAST_DF, PASSES, STEP, SHRINK = 20, 6_000, 4, 12, 0.15, 1e-5
 GRADES = 3
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -65,9 +65,13 @@ def fit(texts: list[str], grades: np.ndarray) -> dict | None:
     """Weights, dense weights and ordered thresholds, by stochastic gradient steps scaled by past gradients."""
     if len(set(grades.tolist())) < 2:
         return None
-    data = [t.encode("utf-8", "replace") for t in texts]
-    offsets = np.concatenate([[0], np.cumsum([len(d) for d in data])]).astype(np.int64)
-    row, slot, dense = features(np.frombuffer(b"".join(data), np.uint8), offsets)
+    parts = []
+    for at in range(0, len(texts), 100):  # a few texts at a time bound the driver's memory
+        data = [t.encode("utf-8", "replace") for t in texts[at : at + 100]]
+        offsets = np.concatenate([[0], np.cumsum([len(d) for d in data])]).astype(np.int64)
+        r, s, d = features(np.frombuffer(b"".join(data), np.uint8), offsets)
+        parts.append((r + at, s.astype(np.int32), d))
+    row, slot, dense = (np.concatenate(x) for x in zip(*parts, strict=True))
     df = np.bincount(slot, minlength=1 << BITS)
     often = df[slot] >= LEAST_DF
     row, slot = row[often], slot[often]
