@@ -13,6 +13,7 @@ tokens, so memory does not grow with a partition; a document longer than a block
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections import deque
@@ -62,11 +63,29 @@ def choose_cuts(pos: list[int], penalty: list[int], capacity: int = CAPACITY) ->
     return out[::-1]
 
 
+#: The split pattern of byte-level vocabularies without one of their own, its form for texts without runs of
+#: white space, and the characters whose classes every Unicode version gives alike.
+BYTE_LEVEL_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
+RUNLESS_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s"
+SETTLED = r"[\x09\x0a\x0d\x20-\x7e\xc0-\u024f]*"
+RUNS = ("  ", "\n\n", "\n ", " \n", "\t", "\r")
+
+
+def token_bytes(spelled: str) -> bytes:
+    """The bytes behind a byte-level spelling: printable Latin-1 stands for itself, the other bytes for U+0100 onwards."""
+    return bytes(_BYTE_OF[c] for c in spelled)
+
+
+_PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_OF = {chr(b): b for b in _PLAIN} | {chr(0x100 + k): b for k, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))}
+
+
 class SentenceTokenizer:
-    """Ids of a text by the tokenizers library, chunk by chunk: cuts lie where white space follows other text, which
-    the split pattern of a byte-level vocabulary never joins. Chunks are remembered; a full memo starts anew."""
+    """Ids as the tokenizers library gives them, with the places after which a sentence ends.
 
-    max_chunks = 800_000
+    Where the file is a plain byte-level BPE whose ids rise with its merges, texts of settled characters go through
+    tiktoken with the same merges, which keeps no offsets and gives the same ids; all others go through the library.
+    """
 
     def __init__(self, path: str):
         import re
@@ -76,39 +95,50 @@ class SentenceTokenizer:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.packed = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self._uneven = re.compile(r"\s(?=\x20)|(?![\x09-\x0d\x20])\s")
-        self._memo: dict[str, tuple[bytes, bool]] = {}
-
-    def _cut(self, text: str) -> list[str]:
-        if not text:
-            return []
-        if "  " in text or "\n " in text or self._uneven.search(text):
-            return [text]
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]] if first else [" " + x for x in rest]
-
-    def __call__(self, batch: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each text its ids, and the places after which a sentence ends."""
-        cut = [self._cut(t) for t in batch]
-        if len(self._memo) > self.max_chunks:
-            self._memo.clear()
-        memo = self._memo
-        new = list({c for chunks in cut for c in chunks if c not in memo})
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            for c, e in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                memo[c] = np.array(e.ids, self.packed).tobytes(), "\n" in c or c[-1] in ".!?"
-        out = []
-        for chunks in cut:
-            found = [memo[c] for c in chunks]
-            ids = np.frombuffer(b"".join([b for b, _ in found]), self.packed)
-            ends = np.cumsum(np.fromiter((len(b) for b, _ in found), np.int64, len(found))) // self.packed.itemsize
-            out.append((ids, ends[np.fromiter((e for _, e in found), bool, len(found))]))
-        for chunks in cut:
-            if len(chunks) == 1 and len(chunks[0]) > 64:
-                memo.pop(chunks[0], None)
-        return out
+        vocab = self.library.get_vocab(with_added_tokens=True)
+        self.packed = np.dtype("<u2" if max(vocab.values()) < 1 << 16 else "<u4")
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        for token, i in vocab.items():
+            self.ends[i] = token[-1:] in (".", "!", "?", "\n") or "\u010a" in token
+        with open(path, encoding="utf-8") as f:
+            self.plain, self.runless = self._merges(json.load(f))
+        self._settled = re.compile(SETTLED).fullmatch
+
+    @staticmethod
+    def _merges(spec: dict) -> tuple:
+        """The same vocabulary for tiktoken under both patterns, or nothing where the file is anything but a plain
+        byte-level BPE."""
+        none = None, None
+        model, split = spec["model"], spec.get("pre_tokenizer") or {}
+        odd = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+        if model.get("type") != "BPE" or any(model.get(k) for k in odd) or spec.get("normalizer"):
+            return none
+        if split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True):
+            return none
+        vocab = model["vocab"]
+        if not all(set(t) <= _BYTE_OF.keys() for t in vocab) or not all(c in vocab for c in _BYTE_OF):
+            return none
+        made = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+        if made != sorted(set(made)) or len(made) + 256 != len(vocab):
+            return none
+        import tiktoken
+
+        ranks = {token_bytes(t): i for t, i in vocab.items()}
+        return tuple(
+            tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+            for name, pattern in (("plain", BYTE_LEVEL_PATTERN), ("runless", RUNLESS_PATTERN))
+        )
+
+    def ids(self, text: str) -> np.ndarray:
+        if self.plain is not None and self._settled(text):
+            own = self.plain if any(r in text for r in RUNS) else self.runless
+            return own.encode_to_numpy(text, disallowed_special=()).astype(self.packed)
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.packed)
+
+    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a text, and the places after which a sentence ends."""
+        ids = self.ids(text)
+        return ids, np.flatnonzero(self.ends[ids]) + 1
 
 
 _TOKENIZERS: dict[str, SentenceTokenizer] = {}
@@ -199,8 +229,8 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col:
             kind = batch.schema.field("doc_id").type
             keys = batch.column("doc_id").to_pylist()
             for at in range(0, len(keys), 1000):
-                some = [t or "" for t in batch.column("text").slice(at, 1000).to_pylist()]
-                for key, (x, e) in zip(keys[at : at + 1000], own(some), strict=True):
+                for key, text in zip(keys[at : at + 1000], batch.column("text").slice(at, 1000).to_pylist(), strict=True):
+                    x, e = own(text or "")
                     names.append(key)
                     ids.append(np.append(x, np.array([END_ID], x.dtype)))
                     ends.append(e)

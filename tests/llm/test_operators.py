@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -238,3 +239,16 @@ def test_pipeline_stages(spark):
     alone = [(i, before[i]) for i in sorted(first.values())]
     want = {c for _, _, c in brute_components(alone, 5, 80)}
     assert set(rows) == want and not any(secrets.find(t) for t in rows.values())
+
+
+def test_packing_ids_are_those_of_the_library():
+    """Random texts with runs of white space, special tokens and characters beyond the settled ones."""
+    own = packing.sentence_tokenizer(P.path("byte_bpe_50k.json"))
+    assert own.plain is not None
+    rng = random.Random(11)
+    parts = ["a", "e", "th", "ing", " ", "\n", "  ", "\t", "\r\n", "'s", "'", "é", "ü", "1", "23", "...", "!", " of", "aaaa", "<|endoftext|>", "中", " ", "\U0001f600", "́"]
+    letters = "abcdefghijklmnopqrstuvwxyz" * 3 + "ABC " * 4 + "'.0123éü\n"
+    for source in (parts, letters):
+        for _ in range(1500):
+            text = "".join(rng.choice(source) for _ in range(rng.randrange(60)))
+            assert own(text)[0].tolist() == own.library.encode(text, add_special_tokens=False).ids
