@@ -3,7 +3,7 @@
 The merges are compiled into a nondeterministic transducer over bytes. A sequence of tokens is the BPE encoding
 of its bytes exactly when each token encodes to itself and every adjacent pair of tokens does, so a hypothesis needs
 only (last token, place in the token trie). Subset construction on those hypotheses runs lazily and keeps the subsets
-as states; a transition gives the one token that can end at its byte. What lies before the last token border that all
+as states; a state gives the one token that can end on the way into it. What lies before the last token border that all
 hypotheses of a subset share is settled and emitted; the lookahead is bounded by what the vocabulary leaves open.
 
 Decoding streams ids through a table of token bytes and an incremental UTF-8 state machine.
@@ -18,7 +18,10 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
+from operator import getitem
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -26,13 +29,25 @@ from pyspark.sql import DataFrame
 from .shared import texts
 
 ROOT = 0
-#: A transition is a state above so many bits for a token.
-BITS = 20
-TOKEN = (1 << BITS) - 1
 #: Bytes after which settled tokens are emitted.
 FLUSH = 4096
 
 
+class State(dict):
+    """A subset of hypotheses: transitions by byte, made at their first use, and the token that ends on the way in."""
+
+    __slots__ = ("hypotheses", "machine", "token")
+
+    def __init__(self, machine: MergeTransducer, hypotheses: tuple):
+        super().__init__()
+        self.machine, self.hypotheses = machine, hypotheses
+        self.token = hypotheses[-1][0] if hypotheses and hypotheses[-1][1] == ROOT else -1
+
+    def __missing__(self, byte: int) -> State:
+        to = self[byte] = self.machine._move(self, byte)
+        return to
+
+
 class MergeTransducer:
     """Encodes byte strings by ranks, as repeated lowest-rank-first merging does."""
 
@@ -65,19 +80,20 @@ class MergeTransducer:
         self._itself: dict[int, bool] = {}
         self._pairs: dict[tuple[int, int], bool] = {}
         self._split: dict[int, tuple[int, int] | None] = {}
+        self._states: dict[tuple, State] = {}
         self._reset()
 
     def _reset(self) -> None:
-        self._ids: dict[tuple, int] = {}
-        self._states: list[tuple] = []
-        self._moves: dict[int, int] = {}
+        for state in self._states.values():
+            state.clear()  # states lead to each other; without this they would wait for the cycle collector
+        self._states = {}
         self.start = self._state(((-1, ROOT),))
 
-    def _state(self, hypotheses: tuple) -> int:
-        k = self._ids.setdefault(hypotheses, len(self._states))
-        if k == len(self._states):
-            self._states.append(hypotheses)
-        return k
+    def _state(self, hypotheses: tuple) -> State:
+        found = self._states.get(hypotheses)
+        if found is None:
+            found = self._states[hypotheses] = State(self, hypotheses)
+        return found
 
     def _merged(self, piece: bytes, below: int = 1 << 60) -> list[int]:
         """Merge rule itself, for one token; ``below`` stops before merges of that rank."""
@@ -136,14 +152,12 @@ class MergeTransducer:
         self._pairs[a, b] = apart
         return apart
 
-    def _move(self, state: int, byte: int) -> int:
-        """Next state, packed above the token that ends here (plus one; 0 if none does).
-
-        Hypotheses stay in the order of where their open token begins, so equal subsets are equal tuples.
-        """
+    def _move(self, state: State, byte: int) -> State:
+        """Next state. Hypotheses stay in the order of where their open token begins, so equal subsets are equal tuples,
+        and the one whose token ends here, if any, comes last."""
         child, inner = self.child, self.inner
         live, closed = [], -1
-        for last, node in self._states[state]:
+        for last, node in state.hypotheses:
             nxt = child.get(node << 8 | byte)
             if nxt is None:
                 continue
@@ -155,7 +169,7 @@ class MergeTransducer:
                     closed = token
         if closed >= 0:
             live.append((closed, ROOT))
-        return self._state(tuple(live)) << BITS | closed + 1
+        return self._state(tuple(live))
 
     def encode_piece(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
@@ -164,37 +178,31 @@ class MergeTransducer:
         if len(self._states) > self.max_states:
             self._reset()
         out: list[int] = []
-        closed: list[int] = []
-        state, moves, due = self.start, self._moves, FLUSH
-        for byte in piece:
-            step = moves.get(state << 8 | byte)
-            if step is None:
-                step = moves[state << 8 | byte] = self._move(state, byte)
-            closed.append(step & TOKEN)
-            state = step >> BITS
-            if len(closed) >= due:
-                cut = self._agreed(state, closed)
-                out += self._settled(closed[:cut])
-                del closed[:cut]
-                due = len(closed) + FLUSH
-        return out + self._settled(closed)
-
-    def _agreed(self, state: int, closed: list[int]) -> int:
+        path = [self.start]
+        for at in range(0, len(piece), FLUSH):
+            if at:
+                cut = self._agreed(path)
+                out += self._settled(path[: cut + 1])
+                del path[:cut]
+            path[-1:] = accumulate(piece[at : at + FLUSH], getitem, initial=path[-1])
+        return out + self._settled(path)
+
+    def _agreed(self, path: list[State]) -> int:
         """The last token border that the chains of all hypotheses share."""
         borders: set[int] | None = None
-        for _, node in self._states[state]:
-            at, own = len(closed) - self.depth[node], set()
+        for _, node in path[-1].hypotheses:
+            at, own = len(path) - 1 - self.depth[node], set()
             while at > 0:
                 own.add(at)
-                at -= self.length[closed[at - 1] - 1]
+                at -= self.length[path[at].token]
             borders = own if borders is None else borders & own
         return max(borders or (), default=0)
 
-    def _settled(self, closed: list[int]) -> list[int]:
+    def _settled(self, path: list[State]) -> list[int]:
         """The tokens of a stretch, from the one that ends it back to its beginning."""
-        out, at, length = [], len(closed), self.length
+        out, at, length = [], len(path) - 1, self.length
         while at > 0:
-            token = closed[at - 1] - 1
+            token = path[at].token
             if token < 0:
                 raise ValueError("the vocabulary lacks some single byte")
             out.append(token)
@@ -324,6 +332,7 @@ class BpeCodec:
         self.transducer = MergeTransducer(load_ranks(ranks_path))
         self.decoder = StreamDecoder(self.transducer.bytes_of)
         self.packed = np.dtype("<u2" if len(self.decoder.table) <= 1 << 16 else "<u4")
+        self._common = re.compile(r"[\x09\x0a\x0d\x20-\x7e\xc0-\u024f]*").fullmatch
         self._uneven = regex.compile(r"\s(?=\x20)|(?![\x09-\x0d\x20])\s")
         self._memo = ChunkMemo(self._chunk)
         self._bare = ChunkMemo(self._chunk)
@@ -351,7 +360,7 @@ class BpeCodec:
         """White space before a space, and rare white space, make a cut there unsafe."""
         if not text:
             parts = []
-        elif "  " in text or "\n " in text or self._uneven.search(text):
+        elif "  " in text or "\n " in text or "\t " in text or "\r " in text or (not self._common(text) and self._uneven.search(text)):
             parts = [self._chunk(text)]
         else:
             first, *rest = text.split(" ")
