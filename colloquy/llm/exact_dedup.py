@@ -100,12 +100,14 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return found.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", "bucket")
 
 
-def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of the smallest doc_id of each group, with all their columns; a row that repeats both stays once.
+def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", page_entries: int = 65_536) -> DataFrame:
+    """Rows that the index keeps, with all their columns; a row that repeats both id and text stays once.
 
-    Rows without doc_id cannot win while a row with one has the same text.
+    Rows without an id cannot win while a row with one has the same text. Rows meet the index by id and text together, so
+    a group of copies of any size is spread over all tasks; repeated rows are dropped under the same partitioning.
     """
-    rows = docs.withColumn("__body", normalised(F.col(text_col).cast("string")))
-    one = F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.struct(F.col(id_col).isNull(), F.col(id_col)))
-    light = rows.groupBy("__body").agg(one.alias("row"))
-    return light.select("row.*")
+    index = build_index(docs, id_col, text_col, page_entries)
+    name = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))
+    kept = index.select(name(F.col("keep_id")).alias("__id"), F.col("text_sha256").alias("__sha"))
+    rows = docs.withColumns({"__id": name(F.col(id_col)), "__sha": F.sha2(normalised(F.col(text_col).cast("string")), 256)})
+    return rows.join(kept, ["__id", "__sha"], "left_semi").dropDuplicates(["__id", "__sha"]).select(*[F.col(f"`{c}`") for c in docs.columns])

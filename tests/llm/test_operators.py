@@ -252,3 +252,12 @@ def test_packing_ids_are_those_of_the_library():
         for _ in range(1500):
             text = "".join(rng.choice(source) for _ in range(rng.randrange(60)))
             assert own(text)[0].tolist() == own.library.encode(text, add_special_tokens=False).ids
+
+
+def test_exact_duplicates_that_stay(spark):
+    rows = [(3, "a  b", "x"), (1, "a\tb", "y"), (1, "a\tb", "y"), (None, "a b", "z"), (None, "only", "z"), (None, "only", "z"), (2, None, "n"), (4, "", "e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key string")
+    left = exact_dedup.drop_exact_duplicates(df)
+    assert left.columns == df.columns
+    assert sorted(left.collect(), key=str) == sorted([(1, "a\tb", "y"), (None, "only", "z"), (2, None, "n")], key=str)
+    assert exact_dedup.drop_exact_duplicates(df.limit(0)).collect() == []
