@@ -60,10 +60,18 @@ def shingle_sets(column, size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(row, np.arange(len(count) + 1)), tokens
 
 
-def _batches(batches: Iterator, rows: int = 400) -> Iterator:
+def _batches(batches: Iterator, rows: int = 400, size: int = 1_000_000) -> Iterator:
+    """Slices of few rows and about ``size`` bytes of text, so that memory depends on neither batch nor text lengths."""
+    import pyarrow.compute as pc
+
     for whole in batches:
-        for at in range(0, len(whole), rows):
-            yield whole.slice(at, rows)
+        upto = np.cumsum(pc.binary_length(whole.column("text")).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(whole):
+            full = int(np.searchsorted(upto, size + (upto[at - 1] if at else 0), "right"))
+            to = min(max(full, at + 1), at + rows, len(whole))
+            yield whole.slice(at, to - at)
+            at = to
 
 
 def _sum_by_row(first: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -193,19 +201,6 @@ def _sets(size: int):
     return run
 
 
-def _verify(batches: Iterator) -> Iterator:
-    import pyarrow as pa
-
-    for batch in batches:
-        x, y = batch.column("x"), batch.column("y")
-        same = []
-        for i in range(len(batch)):
-            p, q = (np.asarray(s.values) for s in (x[i], y[i]))
-            same.append(len(np.intersect1d(p, q, assume_unique=True)))
-        size = [np.diff(s.offsets.to_numpy()) for s in (x, y)]
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(np.array(same, np.int64)), pa.array((size[0] + size[1]).astype(np.int64))], ["a", "b", "same", "sizes"])
-
-
 class _Join:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int):
         self.size, self.percent = size, percent
@@ -237,8 +232,10 @@ class _Join:
         sets = self.texts_of(self.nodes.join(some, "node")).mapInArrow(_sets(self.size), "node long, tokens array<long>")
         sets = written(sets, "sets")
         both = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
-        found = both.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long, same long, sizes long")
-        return written(found.where(100 * F.col("same") >= self.percent * (F.col("sizes") - F.col("same"))).select("a", "b").distinct(), "links")
+        # In the JVM, pair by pair: Arrow batches of pairs of whole sets would take much memory on both sides.
+        same = F.size(F.array_intersect("x", "y"))
+        found = both.where(100 * same >= self.percent * (F.size("x") + F.size("y") - same))
+        return written(found.select("a", "b").distinct(), "links")
 
     def sizes_agree(self) -> Column:
         return 100 * F.least("n1", "n2") >= self.percent * F.greatest("n1", "n2")
