@@ -93,9 +93,10 @@ def _summaries(size: int):
     return run
 
 
-def _counted(size: int):
-    """Tokens of the counted range as packed 32-bit values, by part of the range."""
+def _counted(size: int, parts: int):
+    """Tokens of the counted range, by their first ``parts`` bits, the rest of 40 packed in 32-bit values."""
     limit = np.uint64(int(COUNTED * 2**40))
+    low = np.uint64(40 - parts)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -104,11 +105,12 @@ def _counted(size: int):
 
         def flush():
             ids = np.sort(np.concatenate(held))
-            edge = np.searchsorted(ids, (np.arange(257, dtype=np.uint64) << np.uint64(32)))
-            full = np.flatnonzero(np.diff(edge))
-            blobs = [ids[edge[p] : edge[p + 1]].astype(np.uint32).tobytes() for p in full]
+            part = (ids >> low).astype(np.int64)
+            head = np.flatnonzero(np.diff(part, prepend=-1))
+            rest = (ids & ((np.uint64(1) << low) - np.uint64(1))).astype(np.uint32)
+            blobs = [x.tobytes() for x in np.split(rest, head[1:])]
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(blobs, pa.binary())], ["part", "blob"])
+            return pa.RecordBatch.from_arrays([pa.array(part[head].astype(np.int32)), pa.array(blobs, pa.binary())], ["part", "blob"])
 
         for batch in _batches(batches):
             _, tokens = shingle_sets(batch.column("text"), size)
@@ -125,23 +127,39 @@ def _counted(size: int):
     return run
 
 
-def _totals(batches: Iterator) -> Iterator:
-    import pyarrow as pa
+def _totals(parts: int):
+    """Counts of the frequent tokens; rows come sorted by part, so one part is held at a time."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        def count(part, held):
+            ids, n = np.unique(np.concatenate(held), return_counts=True)
+            often = n >= FREQUENT
+            return pa.RecordBatch.from_arrays([pa.array(ids[often].astype(np.int64) | part << (40 - parts)), pa.array(n[often].astype(np.int64))], ["token", "n"])
+
+        own, held = None, []
+        for batch in batches:
+            for part, blob in zip(batch.column("part").to_pylist(), batch.column("blob"), strict=True):
+                if part != own and held:
+                    yield count(own, held)
+                    held = []
+                own = part
+                held.append(np.frombuffer(blob.as_buffer(), np.uint32))
+        if held:
+            yield count(own, held)
+
+    return run
 
-    parts: dict[int, list[np.ndarray]] = {}
-    for batch in batches:
-        for part, blob in zip(batch.column("part").to_pylist(), batch.column("blob").to_pylist(), strict=True):
-            parts.setdefault(part, []).append(np.frombuffer(blob, np.uint32))
-    for part, blobs in parts.items():
-        ids, n = np.unique(np.concatenate(blobs), return_counts=True)
-        often = n >= FREQUENT
-        yield pa.RecordBatch.from_arrays([pa.array(ids[often].astype(np.int64) | part << 32), pa.array(n[often].astype(np.int64))], ["token", "n"])
 
+def frequent_tokens(bodies: DataFrame, size: int, total: int) -> np.ndarray:
+    """The most frequent tokens of the counted range (their first 40 bits), sorted; as many levels as the table takes.
 
-def frequent_tokens(bodies: DataFrame, size: int) -> np.ndarray:
-    """The most frequent tokens of the counted range (their first 40 bits), sorted; as many levels as the table takes."""
-    counted = bodies.select("text").mapInArrow(_counted(size), "part int, blob binary").repartition("part")
-    table = written(counted.mapInArrow(_totals, "token long, n long"), "frequent")
+    ``total`` tokens are counted in so many parts that a part holds about two million, whatever the input.
+    """
+    parts = min(max(8, int(total // 2_000_000).bit_length()), 30)
+    counted = bodies.select("text").mapInArrow(_counted(size, parts), "part int, blob binary").repartition("part").sortWithinPartitions("part")
+    table = written(counted.mapInArrow(_totals(parts), "token long, n long"), "frequent")
     levels = sorted(((r["n"], r["c"]) for r in table.groupBy(F.least("n", F.lit(100_000)).alias("n")).agg(F.count("*").alias("c")).collect()), reverse=True)
     total, least = 0, None
     for n, c in levels:
@@ -242,7 +260,8 @@ class _Join:
 
     def links(self) -> DataFrame:
         spark = self.nodes.sparkSession
-        frequent = spark.sparkContext.broadcast(frequent_tokens(self.texts_of(self.nodes), self.size))
+        total = self.nodes.agg(F.sum("n")).first()[0] or 0
+        frequent = spark.sparkContext.broadcast(frequent_tokens(self.texts_of(self.nodes), self.size, total))
         prefixed = self.texts_of(self.nodes).mapInArrow(_prefixes(self.size, self.percent, frequent), "node long, n long, gid long, tokens array<long>, bits array<long>")
         prefixed = written(prefixed, "prefixes")
         self.bitmaps = written(prefixed.select("node", "n", "bits").dropDuplicates(["node"]), "bitmaps")
