@@ -2,11 +2,12 @@
 
 Equal sets are one node. Tokens have one order for all: those outside the table of frequent ones by hash, then the frequent
 ones; two sets can link only if their prefixes in this order share a token (prefix filter) and their sizes agree (size
-filter). Nodes with identical prefix and size are one group. Pairs are found in two rounds, so that a large set of
-near copies never becomes all its pairs: first every member of a group is verified against the group's lead, and every
-lead against one pivot of each token's list; the links found give preliminary components. Then, for each token whose
-list spans several of these, the groups outside its largest component are paired with all groups of other components,
-expanded to their members, and verified. Pairs that are left out lie within one component and cannot change the result.
+filter). Nodes with identical prefix and size are one group. Pairs are found in rounds, so that a large set of near
+copies never becomes all its pairs: first every member of a group is verified against the group's lead, and every lead
+against one pivot of each token's list; the links found give preliminary components. Where lists still span many of
+these, what lies outside a list's largest component is verified against hubs, the best linked groups inside it. Last, the
+groups outside it are paired with all groups of other components whose first common token can be this one, expanded to
+their members, and verified. Pairs that are left out lie within one component and cannot change the result.
 
 Verification counts equal 64-bit fingerprints of n-grams of both whole sets.
 
@@ -32,6 +33,8 @@ COUNTED = 0.6
 BITMAP = 16
 #: The table of frequent tokens: least count, and entries at most (8 bytes each, sent to all executors).
 FREQUENT, FREQUENT_ENTRIES = 12, 500_000
+#: Rounds with hubs at most (a second one finds next to nothing), and the pairs of places for each place from which a round pays; these affect cost alone.
+HUB_ROUNDS, HUB_WORK = 1, 5
 #: Keys up to this number (12 bytes each) are sent to all executors to select texts; more are joined by a shuffle.
 BROADCAST_KEYS = 2_000_000
 
@@ -258,6 +261,10 @@ class _Join:
     def sizes_agree(self) -> Column:
         return 100 * F.least("n1", "n2") >= self.percent * F.greatest("n1", "n2")
 
+    def position_fits(self, i: str, n: str, other: str) -> Column:
+        """Whether sets of n and other tokens can be similar if the first token that they share is at place i of the one of n."""
+        return (100 + self.percent) * (F.col(n) - F.col(i)) >= self.percent * (F.col(n) + F.col(other))
+
     def links(self) -> DataFrame:
         spark = self.nodes.sparkSession
         total = self.nodes.agg(F.sum("n")).first()[0] or 0
@@ -265,37 +272,68 @@ class _Join:
         prefixed = self.texts_of(self.nodes).mapInArrow(_prefixes(self.size, self.percent, frequent), "node long, n long, gid long, tokens array<long>, bits array<long>")
         prefixed = written(prefixed, "prefixes")
         self.bitmaps = written(prefixed.select("node", "n", "bits").dropDuplicates(["node"]), "bitmaps")
-        members = prefixed.select("node", "n", "gid").distinct()
+        self.members = prefixed.select("node", "n", "gid").distinct()
         leads = written(prefixed.groupBy("gid").agg(F.min("node").alias("node"), F.max("n").alias("n")), "leads")
-        postings = prefixed.join(leads.select("node"), "node", "left_semi").select(F.explode("tokens").alias("token"), "gid", "n")
+        self.lead = leads.select("gid", F.col("node").alias("lead"))
+        postings = prefixed.join(leads.select("node"), "node", "left_semi").select(F.posexplode("tokens").alias("at", "token"), "gid", "n")
         # gid is a hash, so the least of a list is a pivot chosen at random, and the same one for lists with much in common
         pivots = postings.groupBy("token").agg(F.count("*").alias("c"), F.min(F.struct("gid", "n")).alias("pivot")).where("c > 1")
-        shared = written(postings.join(pivots.select("token", F.col("pivot.gid").alias("pivot"), F.col("pivot.n").alias("pivot_n")), "token"), "postings")
-        lead = leads.select("gid", F.col("node").alias("lead"))
-        first = shared.where("gid <> pivot").where(100 * F.least("n", "pivot_n") >= self.percent * F.greatest("n", "pivot_n")).select("gid", "pivot").distinct()
-        first = first.join(lead, "gid").withColumnRenamed("lead", "a").join(lead.toDF("pivot", "b"), "pivot").select("a", "b")
-        inside = members.join(lead, "gid").where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b"))
-        links = self.linked(first.unionByName(inside))
-
+        self.shared = written(postings.join(pivots.select("token", "pivot"), "token"), "postings")
+        inside = self.members.join(self.lead, "gid").where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b"))
+        links = self.linked(self.to_pivots(self.shared).unionByName(inside))
+
+        entries = self.entries(links)
+        for _ in range(HUB_ROUNDS):
+            lists = entries.groupBy("token").agg(F.count("*").alias("c"), F.count_if((F.col("component") != F.col("major")) | F.col("spans")).alias("minor"))
+            work, held = lists.agg(F.sum(F.col("c") * F.col("minor")), F.sum("c")).first()
+            if (work or 0) <= HUB_WORK * (held or 0):
+                break
+            links = links.unionByName(self.linked(self.to_hubs(entries, links)))
+            entries = self.entries(links)
+        return links.unionByName(self.linked(self.rest(entries)))
+
+    def to_pivots(self, rows: DataFrame) -> DataFrame:
+        """Pairs of leads: each row's group and its pivot."""
+        pairs = rows.withColumns({"n1": F.col("n"), "n2": F.col("pivot.n")}).where((F.col("gid") != F.col("pivot.gid")) & self.sizes_agree())
+        pairs = pairs.select("gid", F.col("pivot.gid").alias("pivot")).distinct()
+        return pairs.join(self.lead, "gid").withColumnRenamed("lead", "a").join(self.lead.toDF("pivot", "b"), "pivot").select("a", "b")
+
+    def entries(self, links: DataFrame) -> DataFrame:
+        """Lists that hold several preliminary components, with the largest of each as ``major``."""
         known = written(components(links), "components")
-        placed = members.join(known, "node", "left").select("gid", "node", "n", F.coalesce("component", "node").alias("component"))
-        placed = written(placed, "placed")
-        whole = placed.groupBy("gid").agg(F.min("component").alias("component"), F.max("component").alias("other"), F.count("*").alias("size"))
+        placed = self.members.join(known, "node", "left").select("gid", "node", "n", F.coalesce("component", "node").alias("component"))
+        self.placed = written(placed, "placed")
+        whole = self.placed.groupBy("gid").agg(F.min("component").alias("component"), F.max("component").alias("other"))
         # A group that spans components is paired with itself and with all others of its lists.
-        whole = written(whole.withColumn("spans", F.col("component") != F.col("other")), "groups")
-        entries = shared.select("token", "gid", "n").join(whole, "gid")
+        self.whole = written(whole.withColumn("spans", F.col("component") != F.col("other")), "groups")
+        entries = self.shared.select("token", "gid", "n", "at").join(self.whole, "gid")
         count = entries.groupBy("token", "component", "spans").agg(F.count("*").alias("c"))
         major = count.groupBy("token").agg(F.count("*").alias("kinds"), F.max(F.struct(~F.col("spans"), "c", "component")).alias("top"))
         major = major.where((F.col("kinds") > 1) | ~F.col("top.col1")).select("token", F.col("top.component").alias("major"))
-        entries = written(entries.join(major, "token"), "entries")
-        minor = entries.where((F.col("component") != F.col("major")) | F.col("spans")).select("token", F.col("gid").alias("g1"), F.col("n").alias("n1"), F.col("component").alias("c1"), F.col("spans").alias("s1"))
-        every = entries.select("token", F.col("gid").alias("g2"), F.col("n").alias("n2"), F.col("component").alias("c2"), F.col("spans").alias("s2"))
+        return written(entries.join(major, "token"), "entries")
+
+    def to_hubs(self, entries: DataFrame, links: DataFrame) -> DataFrame:
+        """Pairs of what lies outside the largest component of a list with three of the best linked groups inside it."""
+        ends = links.select(F.col("a").alias("lead")).unionByName(links.select(F.col("b").alias("lead")))
+        degree = ends.groupBy("lead").agg(F.count("*").alias("degree")).join(self.lead, "lead").select("gid", "degree")
+        inner = entries.where(F.col("component") == F.col("major")).join(degree, "gid", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
+        level = F.floor(F.log2(F.col("degree") + 1))
+        ranks = [F.col("degree"), *[F.struct(level, F.xxhash64("gid", F.lit(r))) for r in (1, 2)]]
+        hubs = inner.groupBy("token").agg(*[F.max_by(F.struct("gid", "n"), r).alias(f"h{k}") for k, r in enumerate(ranks)])
+        outer = entries.where(F.col("component") != F.col("major")).join(hubs, "token")
+        return self.to_pivots(outer.select("gid", "n", F.explode(F.array("h0", "h1", "h2")).alias("pivot")))
+
+    def rest(self, entries: DataFrame) -> DataFrame:
+        """All pairs that can still join components. Similar sets have a first common token; only lists in which both may
+        have it at their places give a pair (position filter)."""
+        minor = entries.where((F.col("component") != F.col("major")) | F.col("spans")).select("token", F.col("gid").alias("g1"), F.col("n").alias("n1"), F.col("at").alias("i1"), F.col("component").alias("c1"), F.col("spans").alias("s1"))
+        every = entries.select("token", F.col("gid").alias("g2"), F.col("n").alias("n2"), F.col("at").alias("i2"), F.col("component").alias("c2"), F.col("spans").alias("s2"))
         apart = (F.col("c1") != F.col("c2")) | F.col("s1") | F.col("s2")
-        groups = minor.join(every, "token").where((F.col("g1") != F.col("g2")) & apart & self.sizes_agree()).select(F.least("g1", "g2").alias("g1"), F.greatest("g1", "g2").alias("g2")).distinct()
-        groups = groups.unionByName(whole.where("spans").select(F.col("gid").alias("g1"), F.col("gid").alias("g2")))
-        side = lambda k, x: placed.select(F.col("gid").alias(f"g{k}"), F.col("node").alias(x), F.col("component").alias(f"p{k}"))
-        second = groups.join(side(1, "a"), "g1").join(side(2, "b"), "g2").where("p1 <> p2").select("a", "b")
-        return links.unionByName(self.linked(second))
+        fits = self.sizes_agree() & self.position_fits("i1", "n1", "n2") & self.position_fits("i2", "n2", "n1")
+        groups = minor.join(every, "token").where((F.col("g1") != F.col("g2")) & apart & fits).select(F.least("g1", "g2").alias("g1"), F.greatest("g1", "g2").alias("g2")).distinct()
+        groups = groups.unionByName(self.whole.where("spans").select(F.col("gid").alias("g1"), F.col("gid").alias("g2")))
+        side = lambda k, x: self.placed.select(F.col("gid").alias(f"g{k}"), F.col("node").alias(x), F.col("component").alias(f"p{k}"))
+        return groups.join(side(1, "a"), "g1").join(side(2, "b"), "g2").where("p1 <> p2").select("a", "b")
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
