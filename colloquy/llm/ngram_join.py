@@ -170,7 +170,7 @@ def frequent_tokens(bodies: DataFrame, size: int, total: int) -> np.ndarray:
         least = n
     if least is None:
         return np.zeros(0, np.uint64)
-    return np.sort(np.array([r["token"] for r in table.where(F.col("n") >= least).select("token").collect()], np.uint64))
+    return np.sort(table.where(F.col("n") >= least).select("token").toArrow().column(0).to_numpy().astype(np.uint64))
 
 
 def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
@@ -269,6 +269,7 @@ class _Join:
         frequent = spark.sparkContext.broadcast(frequent_tokens(self.texts_of(self.nodes), self.size, total))
         prefixed = self.texts_of(self.nodes).mapInArrow(_prefixes(self.size, self.percent, frequent), "node long, n long, gid long, tokens array<long>, bits array<long>")
         prefixed = written(prefixed, "prefixes")
+        frequent.destroy()  # what it served is written
         self.bitmaps = written(prefixed.select("node", "n", "bits").dropDuplicates(["node"]), "bitmaps")
         self.members = prefixed.select("node", "n", "gid").distinct()
         leads = written(prefixed.groupBy("gid").agg(F.min("node").alias("node"), F.max("n").alias("n")), "leads")
