@@ -85,6 +85,11 @@ def metrics(prefix: str = "") -> dict[str, str]:
     }
 
 
+def bucket_of(value: Column) -> Column:
+    """The place of a value in the sketches, the scale in which the fences are."""
+    return F.when(value < 1000, value).otherwise(1000 + F.floor(50 * F.log(value / 1000))).cast("bigint")
+
+
 def failed_base(prefix: str = "") -> Column:
     return (F.col(f"{prefix}n_words") < 50) | (100 * F.col(f"{prefix}n_repeat_words") > 50 * F.col(f"{prefix}n_words"))
 
@@ -93,8 +98,7 @@ def sketches(rows: DataFrame, group_cols: list[str], prefix: str = "") -> DataFr
     """(g1, g2, level, metric, bucket, n): a histogram for each group, each first column of it, and all."""
     named = [F.struct(F.lit(m).alias("metric"), F.expr(e).cast("bigint").alias("value")) for m, e in metrics(prefix).items()]
     long = rows.select(F.col(group_cols[0]).alias("g1"), F.col(group_cols[1]).alias("g2"), F.inline(F.array(*named)))
-    bucket = F.when(F.col("value") < 1000, F.col("value")).otherwise(1000 + F.floor(50 * F.log(F.col("value") / 1000))).cast("bigint")
-    fine = long.groupBy("g1", "g2", "metric", bucket.alias("bucket")).agg(F.count("*").alias("n"))
+    fine = long.groupBy("g1", "g2", "metric", bucket_of(F.col("value")).alias("bucket")).agg(F.count("*").alias("n"))
     levels = F.explode(F.array(F.lit(2), F.lit(1), F.lit(0))).alias("level")
     return (
         fine.select("*", levels)
@@ -137,9 +141,9 @@ def judged(rows: DataFrame, group_cols: list[str], prefix: str = "") -> DataFram
     limit = lambda c: F.when(F.col("__n2") >= LEAST, F.col(f"__{c}2")).when(F.col("__n1") >= LEAST, F.col(f"__{c}1")).otherwise(F.col(f"__{c}0"))
     inside = F.lit(True)
     for m, e in metrics(prefix).items():
-        inside = inside & (F.expr(e) <= limit(f"{m}_hi"))
+        inside = inside & (bucket_of(F.expr(e)) <= limit(f"{m}_hi"))
         if FENCES[m][1]:
-            inside = inside & (F.expr(e) >= limit(f"{m}_lo"))
+            inside = inside & (bucket_of(F.expr(e)) >= limit(f"{m}_lo"))
     bad = failed_base(prefix)
     return joined.select(*[F.col(f"`{c}`") for c in rows.columns], bad.alias(f"{prefix}base_failed"), (~bad & F.coalesce(inside, F.lit(True))).alias(f"{prefix}kept"))
 

@@ -261,3 +261,11 @@ def test_exact_duplicates_that_stay(spark):
     assert left.columns == df.columns
     assert sorted(left.collect(), key=str) == sorted([(1, "a\tb", "y"), (None, "only", "z"), (2, None, "n")], key=str)
     assert exact_dedup.drop_exact_duplicates(df.limit(0)).collect() == []
+
+
+def test_fences_and_values_are_in_one_scale(spark):
+    """Text without spaces: words of 120 to 200 characters, so that all values lie beyond 1,000."""
+    rows = [(i, " ".join(chr(0x4E00 + (i * 60 + k) % 20_000) * (120 + i % 81) for k in range(60)), "zh", "web") for i in range(81)]
+    rows += [(999, " ".join(chr(0x3400 + k) * 5_000 for k in range(60)), "zh", "web")]
+    got = {r.doc_id: r.kept for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert got == {i: True for i in range(81)} | {999: False}
