@@ -3,7 +3,9 @@
 Each metric of a document is a whole number (parts per thousand, or tenths of characters), so a sketch is a histogram:
 exact for the bounded metrics, in buckets of 2 % width beyond 1,000. Sketches merge by adding counts; a group of (lang,
 source) with too few documents uses the merged sketch of its lang, and that of all documents after that. From each sketch
-come quartiles and from these fences; a document outside a fence is rejected, besides the fixed base rule.
+come quartiles and from these fences; a document outside a fence is rejected, besides the fixed base rule. The upper
+fence of a bounded metric is no looser than those of the wider sketches plus the slack, so that a group full of junk
+cannot put its own fence beyond the greatest value.
 
 Defined results: null or empty text has no words and fails the base rule; null lang or source is a group of its own;
 repeated rows count each; other columns are ignored or, in ``filter_quality``, carried along; an empty table gives an
@@ -20,6 +22,8 @@ from .shared import SPACE, written
 
 #: metric: (slack above the upper quartile at least, whether a lower fence holds too)
 FENCES = {"symbols": (100, False), "dup_lines": (300, False), "repeats": (250, False), "word_tenths": (40, True)}
+#: Metrics that cannot pass 1,000 (word lengths can, and differ by language).
+BOUNDED = ("symbols", "dup_lines", "repeats")
 #: Documents that a group needs for thresholds of its own.
 LEAST = 50
 #: Groups up to this number are sent to all executors (under 10 MB); more are joined by a shuffle.
@@ -141,7 +145,11 @@ def judged(rows: DataFrame, group_cols: list[str], prefix: str = "") -> DataFram
     limit = lambda c: F.when(F.col("__n2") >= LEAST, F.col(f"__{c}2")).when(F.col("__n1") >= LEAST, F.col(f"__{c}1")).otherwise(F.col(f"__{c}0"))
     inside = F.lit(True)
     for m, e in metrics(prefix).items():
-        inside = inside & (bucket_of(F.expr(e)) <= limit(f"{m}_hi"))
+        hi = limit(f"{m}_hi")
+        if m in BOUNDED:
+            wider = F.least(F.when(F.col("__n1") >= LEAST, F.col(f"__{m}_hi1")), F.col(f"__{m}_hi0"))  # least() skips nulls
+            hi = F.least(hi, wider + FENCES[m][0])
+        inside = inside & (bucket_of(F.expr(e)) <= hi)
         if FENCES[m][1]:
             inside = inside & (bucket_of(F.expr(e)) >= limit(f"{m}_lo"))
     bad = failed_base(prefix)

@@ -269,3 +269,14 @@ def test_fences_and_values_are_in_one_scale(spark):
     rows += [(999, " ".join(chr(0x3400 + k) * 5_000 for k in range(60)), "zh", "web")]
     got = {r.doc_id: r.kept for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
     assert got == {i: True for i in range(81)} | {999: False}
+
+
+def test_a_group_of_junk_keeps_its_rule(spark):
+    """A third of the rows is a source in which 30 of 100 documents are one line nine times or more."""
+    text = lambda i, same: "\n".join([f"the same line {i} again"] * same + [" ".join(f"w{i}x{k}x{j}" for j in range(8)) for k in range(40 - same)])
+    rows = [(i, text(i, 16 if i < 20 else 19 if i < 30 else 0), "en", "spam") for i in range(100)] + [(100 + i, text(i, 0), "en", "web") for i in range(200)]
+    rows += [(900, "\n".join([" ".join(f"v{k}" for k in range(60))] + ["one two"] * 30 + [f"u{k}" for k in range(8)]), "en", "spam")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: (r.base_failed, r.kept) for r in quality.quality(df).collect()}
+    assert got.pop(900) == (False, False)
+    assert all(got[i][1] for i in range(30, 300))
