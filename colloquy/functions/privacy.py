@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 #: What is detected, in order of priority. Java and Python read these patterns alike.
 DETECTORS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
-    "iban": r"\b[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}\b",
+    "iban": r"\b[A-Z]{2}[0-9]{2}[A-Z0-9]{10,30}\b",
     "uuid": r"\b[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}\b",
+    "object_id": r"\b[0-9a-f]{24}\b",
+    "phone": r"\+(?:[0-9][\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000-]?){7,14}[0-9]\b",
     "card_number": r"(?<![0-9.])[0-9]{13,19}(?![0-9.])",
     "account_number": r"(?<![0-9.])[0-9]{8}(?![0-9.])",
 }
@@ -43,6 +45,10 @@ def fake(kind: str, value: str, salt: str) -> str:
         return f"GB00TEST{n % 10**14:014d}"
     if kind == "uuid":
         return f"00000000-0000-4000-8000-{n:012x}"
+    if kind == "object_id":
+        return f"{n:024x}"
+    if kind == "phone":  # country code 99 is not assigned
+        return f"+99 900 {n % 1_000_000:06d}"
     if kind in ("card_number", "account_number"):
         return str(n % 10 ** len(value)).zfill(len(value))
     raise ValueError(f"unknown kind {kind!r}")

@@ -130,7 +130,9 @@ def tool_call_blocks(spark, d):
 
 
 def detectors(spark, d):
+    """The five kinds that the SQL counts; ``privacy.detected`` has object_id and phone too."""
     rows = _t(spark, d, "documents").select(F.explode(privacy.detected(F.col("text"))).alias("kind", "n"))
+    rows = rows.where(~F.col("kind").isin("object_id", "phone"))
     return rows.groupBy("kind").agg(F.sum("n").alias("n"))
 
 

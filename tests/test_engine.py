@@ -4,6 +4,7 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 from colloquy.functions import privacy
@@ -112,6 +113,15 @@ def test_scrub():
     assert text == privacy.scrub("Mail ann@x.org, acct 12345678, Ann Lee and annex.", ["Ann Lee"], "s")[0]
 
 
+def test_phones_object_ids_and_short_ibans(spark):
+    values = {"phone": "+44 20 7946-0958", "object_id": "507f1f77bcf86cd799439011", "iban": "NO93" + "8601111794"}
+    text = "Call {phone}, id {object_id}, pay {iban}; +1 2 is none.".format(**values)
+    out, n = privacy.scrub(text, [], "s")
+    assert n == {k: 1 for k in values} and not any(v in out for v in values.values()) and "+1 2 is none" in out
+    row = spark.createDataFrame([(text,)], "t string").select(privacy.detected(F.col("t")).alias("n")).first()
+    assert {k: v for k, v in row.n.items() if v} == {k: 1 for k in values}
+
+
 def test_generate(spark):
     rows = synthetic.generate(spark, 100, 1).collect()
     assert Counter(r.branch for r in rows) == synthetic.quotas(100, synthetic.WEIGHTS) and len({r.user for r in rows}) == 100
