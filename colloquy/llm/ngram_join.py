@@ -228,7 +228,7 @@ class _Join:
         kind = body.schema["doc_id"].dataType.simpleString()
         rows = self.body.select("doc_id", "k1", "k2", "text").mapInArrow(_summaries(size), f"doc_id {kind}, k1 long, k2 int, n long, f1 long, f2 long")
         self.rows = written(rows, "rows")
-        nodes = self.rows.where("n > 0").groupBy("n", "f1", "f2").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("one"), F.min("doc_id").alias("label"))
+        nodes = self.rows.where("n > 0").groupBy("n", "f1", "f2").agg(F.min(F.struct(F.isnull("doc_id"), "doc_id", "k1", "k2")).alias("one"), F.min("doc_id").alias("label"))
         self.nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "n", "f1", "f2", "label", "one.k1", "one.k2"), "nodes")
 
     def texts_of(self, nodes: DataFrame) -> DataFrame:
@@ -330,19 +330,33 @@ class _Join:
         return groups.join(side(1, "a"), "g1").join(side(2, "b"), "g2").where("p1 <> p2").select("a", "b")
 
 
+def _labelled(join: _Join) -> DataFrame:
+    """(n, f1, f2, component_id, b1, b2): each distinct set with the smallest doc_id of its component and the key of the
+    row that stays: the first by id and key, without an id only where no row has one."""
+    found = components(join.links())
+    nodes = join.nodes.join(found, "node", "left").select("n", "f1", "f2", "label", "k1", "k2", F.coalesce("component", "node").alias("component"))
+    least = nodes.groupBy("component").agg(F.min("label").alias("component_id"), F.min(F.struct(F.isnull("label"), "label", "k1", "k2")).alias("best"))
+    return written(nodes.join(least, "component").select("n", "f1", "f2", "component_id", F.col("best.k1").alias("b1"), F.col("best.k2").alias("b2")), "labelled")
+
+
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; two sets link when 100 * common >= percent * union."""
     join = _Join(docs, id_col, text_col, size, percent)
-    found = components(join.links())
-    nodes = join.nodes.join(found, "node", "left").select("n", "f1", "f2", "label", F.coalesce("component", "node").alias("component"))
-    least = nodes.groupBy("component").agg(F.min("label").alias("component_id"))
-    nodes = written(nodes.join(least, "component").select("n", "f1", "f2", "component_id"), "labelled")
-    out = join.rows.join(nodes, ["n", "f1", "f2"], "left")
+    out = join.rows.join(_labelled(join), ["n", "f1", "f2"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """The row with the smallest id of each component, with all its columns; rows with an empty set all stay."""
-    found = similar_components(docs, id_col, text_col, size, percent)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    """One row of each component, with all its columns: that with the smallest id, and of several texts under this id that
+    with the smallest hash; a row without an id only where none has one. Rows with an empty set all stay."""
+    join = _Join(docs, id_col, text_col, size, percent)
+    best = (F.col("k1") == F.col("b1")) & (F.col("k2") == F.col("b2"))
+    judged = written(join.rows.join(_labelled(join), ["n", "f1", "f2"]).select("k1", "k2", best.alias("best")), "judged")
+    keys = ["__k1", "__k2"]
+    gone = judged.where("NOT best").select("k1", "k2").distinct().toDF(*keys)
+    again = written(judged.where("best").groupBy("k1", "k2").agg(F.count("*").alias("c")).where("c > 1").select("k1", "k2").toDF(*keys), "again")
+    key = (F.col(id_col), F.col(text_col).cast("string"))
+    left = docs.withColumns({"__k1": F.xxhash64(*key), "__k2": F.hash(*key)}).join(gone, keys, "left_anti")
+    if not again.isEmpty():  # rows that repeat id and text
+        left = left.join(again, keys, "left_anti").unionByName(left.join(again, keys, "left_semi").dropDuplicates(keys))
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -280,3 +280,15 @@ def test_a_group_of_junk_keeps_its_rule(spark):
     got = {r.doc_id: (r.base_failed, r.kept) for r in quality.quality(df).collect()}
     assert got.pop(900) == (False, False)
     assert all(got[i][1] for i in range(30, 300))
+
+
+def test_one_row_of_each_component_stays(spark):
+    """Null ids, ids with several texts and repeated rows."""
+    near = lambda a, x: " ".join([f"{a}{k}" for k in range(60)] + [x])
+    rows = [(None, near("a", "x")), (4, near("a", "y")), (1, near("b", "x")), (2, near("b", "y")), (2, near("c", "x")), (3, near("d", "x")), (3, near("d", "y"))]
+    rows += [(None, near("e", "x")), (None, near("e", "y")), (5, near("f", "x")), (5, near("f", "x")), (6, None), (6, None)]
+    df = spark.createDataFrame([(i, t, "k") for i, t in rows], "doc_id long, text string, key string")
+    left = ngram_join.drop_similar(df)
+    assert left.columns == df.columns
+    got = Counter((r.doc_id, (r.text or "-")[0]) for r in left.collect())
+    assert got == Counter([(4, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e"), (5, "f"), (6, "-"), (6, "-")])
