@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import Scratch
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -21,12 +21,15 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(node, component) of every node of the edges (a, b): the least node that links reach."""
-    edges = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    scratch = scratch or Scratch(edges.sparkSession)
+    edges = scratch.written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = None
     while True:
-        edges = written(_star(_star(edges, large=True), large=False), "edges")
+        after = scratch.written(_star(_star(edges, large=True), large=False), "edges")
+        scratch.drop(edges)
+        edges = after
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before:
             break

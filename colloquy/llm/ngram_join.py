@@ -1,15 +1,20 @@
 """N-gram Jaccard join by grouped prefixes, with connected components of the links.
 
-Equal sets are one node. Tokens have one order for all: those outside the table of frequent ones by hash, then the frequent
-ones; two sets can link only if their prefixes in this order share a token (prefix filter) and their sizes agree (size
-filter). Nodes with identical prefix and size are one group. Pairs are found in rounds, so that a large set of near
-copies never becomes all its pairs: first every member of a group is verified against the group's lead, and every lead
-against one pivot of each token's list; the links found give preliminary components. Where lists still span many of
-these, what lies outside a list's largest component is verified against hubs, the best linked groups inside it. Last, the
-groups outside it are paired with all groups of other components whose first common token can be this one, expanded to
-their members, and verified. Pairs that are left out lie within one component and cannot change the result.
-
-Verification counts equal 64-bit fingerprints of n-grams of both whole sets.
+Equal sets are one node. Tokens have one order for all: rising by how frequent they are, as a bounded table of the most
+frequent ones tells, then by hash; two sets can link only if their prefixes in this order share a token. Nodes with
+identical prefix and size are one group; group pairs come from lists of the groups that hold a token in their prefix, and
+are expanded to their members. A large set of near copies never becomes all its pairs:
+
+- Each list has a pivot group. Members of the other groups are held against the pivot's lead, which gives links and, for
+  those that share half of what they have with it, their difference from it. Jaccard distance is a metric, so a link
+  between two members of a list has both of them near the pivot, or neither close to it. The latter stay in the list for
+  a further round with another pivot; what then remains is paired (size and position filters) and verified.
+- What is near one pivot is a family. Its centre is the majority vote over its members' tokens. Sets whose differences
+  from the centre are small enough together must link, so the member closest to the centre takes in all of these at once;
+  any other pair must share a stated number of differing tokens, which a prefix join over the differences, rarest first,
+  finds and their intersection decides.
+
+Pairs that are left out lie within one component and cannot change the result.
 
 Defined results: null, empty or blank text has an empty set and is its own component; rows that repeat an id or a text
 are nodes by their sets; ties go to the smallest id; other columns are ignored; an empty table gives an empty result.
@@ -24,17 +29,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import Roller, arrow_bytes, mix, texts, word_hashes, word_spans, written
+from .shared import Roller, Scratch, arrow_bytes, mix, texts, word_hashes, word_spans
 
-#: Tokens below this share of the hash range are counted over all nodes; the rest comes first in the order. 60 % holds a
-#: prefix of 15 % even of a node of which three quarters are frequent tokens.
-COUNTED = 0.6
 #: 64-bit words of a parity bitmap, which bounds what two sets can share.
 BITMAP = 16
-#: The table of frequent tokens: least count, and entries at most (8 bytes each, sent to all executors).
+#: The table of frequent tokens: least count, and entries at most (9 bytes each, sent to all executors). Tokens beyond it
+#: count as rare, which costs time and changes no result.
 FREQUENT, FREQUENT_ENTRIES = 12, 500_000
-#: Keys up to this number (12 bytes each) are sent to all executors to select texts; more are joined by a shuffle.
-BROADCAST_KEYS = 2_000_000
+#: Bits of the filter that keeps most unneeded texts from being cut into shingles again; an exact join follows it.
+FILTER_BITS = 23
+#: Rounds of pivots before what remains of the lists is paired, and rows of one key after which it is dealt out further.
+ROUNDS, HOT = 2, 2_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -80,23 +85,8 @@ def _sum_by_row(first: np.ndarray, values: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
-def _summaries(size: int):
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in _batches(batches):
-            first, tokens = shingle_sets(batch.column("text"), size)
-            one, two = (_sum_by_row(first, mix(tokens, s)).view(np.int64) for s in (0x1F83D9AB, 0x5BE0CD19))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("doc_id", "k1", "k2")] + [pa.array(np.diff(first)), pa.array(one), pa.array(two)], ["doc_id", "k1", "k2", "n", "f1", "f2"]
-            )
-
-    return run
-
-
 def _counted(size: int, parts: int):
-    """Tokens of the counted range, by their first ``parts`` bits, the rest of 40 packed in 32-bit values."""
-    limit = np.uint64(int(COUNTED * 2**40))
+    """All tokens, by their first ``parts`` bits, the rest of 40 packed in 32-bit values."""
     low = np.uint64(40 - parts)
 
     def run(batches: Iterator) -> Iterator:
@@ -115,10 +105,8 @@ def _counted(size: int, parts: int):
 
         for batch in _batches(batches):
             _, tokens = shingle_sets(batch.column("text"), size)
-            ids = tokens >> np.uint64(24)
-            ids = ids[ids < limit]
-            held.append(ids)
-            n += len(ids)
+            held.append(tokens >> np.uint64(24))
+            n += len(tokens)
             if n > 2_000_000:
                 yield flush()
                 n = 0
@@ -153,14 +141,14 @@ def _totals(parts: int):
     return run
 
 
-def frequent_tokens(bodies: DataFrame, size: int, total: int) -> np.ndarray:
-    """The most frequent tokens of the counted range (their first 40 bits), sorted; as many levels as the table takes.
-
-    ``total`` tokens are counted in so many parts that a part holds about two million, whatever the input.
+def frequent_tokens(body: DataFrame, size: int, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent tokens (their first 40 bits), sorted, and the logarithms of their counts; as many levels of
+    counts as the table takes. Tokens are counted in so many parts that one holds about two million, whatever the input.
     """
+    total = (body.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 5
     parts = min(max(8, int(total // 2_000_000).bit_length()), 30)
-    counted = bodies.select("text").mapInArrow(_counted(size, parts), "part int, blob binary").repartition("part").sortWithinPartitions("part")
-    table = written(counted.mapInArrow(_totals(parts), "token long, n long"), "frequent")
+    counted = body.select("text").mapInArrow(_counted(size, parts), "part int, blob binary").repartition("part").sortWithinPartitions("part")
+    table = scratch.written(counted.mapInArrow(_totals(parts), "token long, n long"), "frequent")
     levels = sorted(((r["n"], r["c"]) for r in table.groupBy(F.least("n", F.lit(100_000)).alias("n")).agg(F.count("*").alias("c")).collect()), reverse=True)
     total, least = 0, None
     for n, c in levels:
@@ -169,174 +157,282 @@ def frequent_tokens(bodies: DataFrame, size: int, total: int) -> np.ndarray:
             break
         least = n
     if least is None:
-        return np.zeros(0, np.uint64)
-    return np.sort(table.where(F.col("n") >= least).select("token").toArrow().column(0).to_numpy().astype(np.uint64))
+        scratch.drop(table)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int8)
+    got = table.where(F.col("n") >= least).select("token", F.log2("n").cast("tinyint").alias("level")).toArrow()
+    token, level = got.column(0).to_numpy().astype(np.uint64), got.column(1).to_numpy()
+    order = np.argsort(token)
+    scratch.drop(table)
+    return token[order], level[order]
 
 
 def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-n * percent // 100) + 1
 
 
-def _prefixes(size: int, percent: int, frequent):
-    """(node, n, gid, tokens): the prefix of each node in the common order; gid tells prefix and size."""
+def _signed(size: int, percent: int, frequent):
+    """For each row its keys, the size of its set and two sums that tell it, and its prefix in the common order; gid tells
+    prefix and size."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        hot = frequent.value
+        hot, level = frequent.value
         for batch in _batches(batches):
             first, tokens = shingle_sets(batch.column("text"), size)
             n = np.diff(first)
+            one, two = (_sum_by_row(first, mix(tokens, s)).view(np.int64) for s in (0x1F83D9AB, 0x5BE0CD19))
             row = np.repeat(np.arange(len(n)), n)
-            late = np.zeros(len(tokens), bool)
+            late = np.zeros(len(tokens), np.int8)
             if len(hot):
                 ids = tokens >> np.uint64(24)
                 at = np.minimum(np.searchsorted(hot, ids), len(hot) - 1)
-                late = hot[at] == ids
+                late = np.where(hot[at] == ids, level[at], late)
             order = np.lexsort((tokens, late, row))
             place = np.arange(len(row)) - first[row]
             own = order[place < prefix_length(n, percent)[row]]
             head = np.concatenate([[0], np.cumsum(np.minimum(prefix_length(n, percent), n))])
             group = _sum_by_row(head, mix(tokens[own], 0x3C6EF372)) ^ mix(n.astype(np.uint64), 0xA54FF53A)
             lists = pa.ListArray.from_arrays(pa.array(head.astype(np.int32)), pa.array(tokens[own].view(np.int64)))
-            bit = (tokens >> np.uint64(8)) & np.uint64(64 * BITMAP - 1)
-            odd = np.bincount(row * 64 * BITMAP + bit.astype(np.int64), minlength=len(n) * 64 * BITMAP).astype(np.uint8) & 1
-            words = np.packbits(odd.reshape(-1, 64), axis=1, bitorder="little").reshape(-1).view("<i8")
-            bits = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * BITMAP), pa.array(words))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(n), pa.array(group.view(np.int64)), lists, bits], ["node", "n", "gid", "tokens", "bits"])
+            keys = [batch.column(c) for c in ("doc_id", "k1", "k2")]
+            yield pa.RecordBatch.from_arrays([*keys, pa.array(n), pa.array(one), pa.array(two), pa.array(group.view(np.int64)), lists], ["doc_id", "k1", "k2", "n", "f1", "f2", "gid", "tokens"])
 
     return run
 
 
-def _sets(size: int):
+def _sets(size: int, wanted):
+    """Whole sets of the rows whose keys the filter lets pass, with their parity bitmaps."""
+
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in _batches(batches):
+        bits = wanted.value
+
+        def likely(whole):
+            slot = whole.column("k1").to_numpy() & ((1 << FILTER_BITS) - 1)
+            return whole.filter(pa.array((bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)))
+
+        for batch in _batches(map(likely, batches)):
             first, tokens = shingle_sets(batch.column("text"), size)
+            n = np.diff(first)
+            row = np.repeat(np.arange(len(n)), n)
+            bit = (tokens >> np.uint64(8)) & np.uint64(64 * BITMAP - 1)
+            odd = np.bincount(row * 64 * BITMAP + bit.astype(np.int64), minlength=len(n) * 64 * BITMAP).astype(np.uint8) & 1
+            words = np.packbits(odd.reshape(-1, 64), axis=1, bitorder="little").reshape(-1).view("<i8")
+            parity = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * BITMAP), pa.array(words))
             lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(tokens.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), lists], ["node", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column("k1"), batch.column("k2"), parity, lists], ["k1", "k2", "bits", "tokens"])
 
     return run
 
 
+def dealt(many: DataFrame, one: DataFrame, key: str, by: str) -> DataFrame:
+    """many joined with one, which has a row for each key. Keys with many rows are dealt out by the column ``by``, and
+    their row in ``one`` repeated as often."""
+    hot = many.groupBy(key).agg(F.count("*").alias("c")).where(F.col("c") > HOT).select(key, F.ceil(F.col("c") / HOT).cast("int").alias("ways"))
+    ways = F.coalesce("ways", F.lit(1))
+    many = many.join(hot, key, "left").withColumn("way", F.pmod(F.hash(by), ways)).drop("ways")
+    one = one.join(hot, key, "left").withColumn("way", F.explode(F.sequence(F.lit(0), ways - 1))).drop("ways")
+    return many.join(one, [key, "way"]).drop("way")
+
+
 class _Join:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int):
-        self.size, self.percent = size, percent
+        self.size, self.percent, self.both = size, percent, 100 + percent
+        self.scratch = Scratch(docs.sparkSession)
+        self.written, self.drop = self.scratch.written, self.scratch.drop
         body = texts(docs, id_col, text_col)
         self.body = body.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k1"), F.hash("doc_id", "text").alias("k2"))
         kind = body.schema["doc_id"].dataType.simpleString()
-        rows = self.body.select("doc_id", "k1", "k2", "text").mapInArrow(_summaries(size), f"doc_id {kind}, k1 long, k2 int, n long, f1 long, f2 long")
-        self.rows = written(rows, "rows")
-        nodes = self.rows.where("n > 0").groupBy("n", "f1", "f2").agg(F.min(F.struct(F.isnull("doc_id"), "doc_id", "k1", "k2")).alias("one"), F.min("doc_id").alias("label"))
-        self.nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "n", "f1", "f2", "label", "one.k1", "one.k2"), "nodes")
-
-    def texts_of(self, nodes: DataFrame) -> DataFrame:
-        """(node, text) of some nodes; a key that several rows share gives its text once for each, which is harmless."""
-        keys = nodes.select("node", "k1", "k2")
-        if nodes.count() <= BROADCAST_KEYS:
-            keys = F.broadcast(keys)
-        return self.body.select("k1", "k2", "text").join(keys, ["k1", "k2"]).select("node", "text")
-
-    def linked(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) of nodes whose whole sets are similar enough."""
-        pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "pairs")
+        frequent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(body, size, self.scratch))
+        signed = self.body.select("doc_id", "k1", "k2", "text").mapInArrow(
+            _signed(size, percent, frequent), f"doc_id {kind}, k1 long, k2 int, n long, f1 long, f2 long, gid long, tokens array<long>"
+        )
+        signed = self.written(signed, "signed")
+        frequent.destroy()  # what it served is written
+        self.rows = self.written(signed.drop("gid", "tokens"), "rows")
+        one = F.min(F.struct("k1", "k2", "gid", "tokens")).alias("one")
+        nodes = signed.where("n > 0").groupBy("n", "f1", "f2").agg(one).select(F.monotonically_increasing_id().alias("node"), "n", "f1", "f2", "one.*")
+        self.nodes = self.written(nodes, "nodes")
+        self.drop(signed)
+
+    def held(self) -> DataFrame:
+        """(node, n, bits, tokens) of every node that shares a list or a group with another one, written once."""
+        few = self.members.join(self.shared.select("gid").distinct(), "gid", "left_semi").select("node").unionByName(self.inside.select(F.col("x").alias("node"))).unionByName(self.inside.select(F.col("p").alias("node")))
+        keys = self.written(self.nodes.join(few.distinct(), "node", "left_semi").select("node", "n", "k1", "k2"), "keys")
+        slots = keys.select(F.col("k1").bitwiseAND((1 << FILTER_BITS) - 1).cast("int").alias("slot")).distinct().toArrow().column(0).to_numpy()
+        bits = np.zeros(1 << FILTER_BITS, np.uint8)
+        bits[slots] = 1
+        wanted = self.nodes.sparkSession.sparkContext.broadcast(np.packbits(bits, bitorder="little"))
+        sets = self.body.select("k1", "k2", "text").mapInArrow(_sets(self.size, wanted), "k1 long, k2 int, bits array<long>, tokens array<long>")
+        sets = sets.groupBy("k1", "k2").agg(F.min(F.struct("bits", "tokens")).alias("s")).join(keys, ["k1", "k2"])  # rows may repeat id and text
+        sets = self.written(sets.select("node", "n", "s.bits", "s.tokens"), "sets")
+        wanted.destroy()
+        self.drop(keys)
+        return sets
+
+    def near(self, pairs: DataFrame) -> DataFrame:
+        """(x, p, nx, np, delta) of the pairs (x, p) whose sets share half of what they have; delta holds what only x has
+        (odd) and what only p has (even)."""
         # Sets that differ in d places of their bitmaps differ in d tokens at least.
-        side = lambda k, x: self.bitmaps.select(F.col("node").alias(x), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"b{k}"))
+        side = lambda x, k: self.sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"b{k}"))
         apart = F.aggregate(F.zip_with("b1", "b2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-        both = pairs.join(side(1, "a"), "a").join(side(2, "b"), "b")
-        most = F.col("n1") + F.col("n2") - apart  # twice what they can share
-        pairs = written(both.where((100 + self.percent) * most >= 2 * self.percent * (F.col("n1") + F.col("n2"))).select("a", "b"), "likely")
-        some = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        sets = self.texts_of(self.nodes.join(some, "node")).mapInArrow(_sets(self.size), "node long, tokens array<long>")
-        sets = written(sets, "sets")
-        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
+        most = F.least("nx", "np", (F.col("nx") + F.col("np") - apart) / 2)
+        likely = dealt(pairs.join(side("x", 1), "x"), side("p", 2), "p", "x").where(3 * most >= F.col("nx") + F.col("np")).select("x", "p", "nx", "np")
+        likely = self.written(likely, "likely")
+        tokens = lambda x, k: self.sets.select(F.col("node").alias(x), F.col("tokens").alias(k))
         # In the JVM, pair by pair: Arrow batches of pairs of whole sets would take much memory on both sides.
-        same = F.size(F.array_intersect("x", "y"))
-        found = both.where(100 * same >= self.percent * (F.size("x") + F.size("y") - same))
-        return written(found.select("a", "b").distinct(), "links")
+        both = dealt(likely.join(tokens("x", "t1"), "x"), tokens("p", "t2"), "p", "x").withColumn("extra", F.array_except("t1", "t2"))
+        both = both.where(3 * (F.col("nx") - F.size("extra")) >= F.col("nx") + F.col("np"))
+        delta = F.concat(F.transform("extra", lambda t: F.shiftleft(t, 1).bitwiseOR(F.lit(1))), F.transform(F.array_except("t2", "t1"), lambda t: F.shiftleft(t, 1)))
+        found = self.written(both.select("x", "p", "nx", "np", F.size("extra").alias("extra"), delta.alias("delta")), "near")
+        self.drop(likely)
+        return found
 
-    def sizes_agree(self) -> Column:
-        return 100 * F.least("n1", "n2") >= self.percent * F.greatest("n1", "n2")
+    def linking(self, same: Column, n1: str = "nx", n2: str = "np") -> Column:
+        return self.both * same >= self.percent * (F.col(n1) + F.col(n2))
 
-    def position_fits(self, i: str, n: str, other: str) -> Column:
-        """Whether sets of n and other tokens can be similar if the first token that they share is at place i of the one of n."""
-        return (100 + self.percent) * (F.col(n) - F.col(i)) >= self.percent * (F.col(n) + F.col(other))
+    def close(self) -> Column:
+        """Whether x shares so much with p that it cannot link with what is not near p."""
+        same = F.col("nx") - F.col("extra")
+        return 100 * same >= (150 - self.percent) * (F.col("nx") + F.col("np") - same)
 
     def links(self) -> DataFrame:
-        spark = self.nodes.sparkSession
-        total = self.nodes.agg(F.sum("n")).first()[0] or 0
-        frequent = spark.sparkContext.broadcast(frequent_tokens(self.texts_of(self.nodes), self.size, total))
-        prefixed = self.texts_of(self.nodes).mapInArrow(_prefixes(self.size, self.percent, frequent), "node long, n long, gid long, tokens array<long>, bits array<long>")
-        prefixed = written(prefixed, "prefixes")
-        frequent.destroy()  # what it served is written
-        self.bitmaps = written(prefixed.select("node", "n", "bits").dropDuplicates(["node"]), "bitmaps")
-        self.members = prefixed.select("node", "n", "gid").distinct()
-        leads = written(prefixed.groupBy("gid").agg(F.min("node").alias("node"), F.max("n").alias("n")), "leads")
-        self.lead = leads.select("gid", F.col("node").alias("lead"))
-        postings = prefixed.join(leads.select("node"), "node", "left_semi").select(F.posexplode("tokens").alias("at", "token"), "gid", "n")
-        # gid is a hash, so the least of a list is a pivot chosen at random, and the same one for lists with much in common
-        pivots = postings.groupBy("token").agg(F.count("*").alias("c"), F.min(F.struct("gid", "n")).alias("pivot")).where("c > 1")
-        self.shared = written(postings.join(pivots.select("token", "pivot"), "token"), "postings")
-        inside = self.members.join(self.lead, "gid").where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b"))
-        links = self.linked(self.to_pivots(self.shared).unionByName(inside))
-
-        entries = self.entries(links)
-        links = links.unionByName(self.linked(self.to_hubs(entries, links)))
-        entries = self.entries(links)
-        return links.unionByName(self.linked(self.rest(entries)))
-
-    def to_pivots(self, rows: DataFrame) -> DataFrame:
-        """Pairs of leads: each row's group and its pivot."""
-        pairs = rows.withColumns({"n1": F.col("n"), "n2": F.col("pivot.n")}).where((F.col("gid") != F.col("pivot.gid")) & self.sizes_agree())
-        pairs = pairs.select("gid", F.col("pivot.gid").alias("pivot")).distinct()
-        return pairs.join(self.lead, "gid").withColumnRenamed("lead", "a").join(self.lead.toDF("pivot", "b"), "pivot").select("a", "b")
-
-    def entries(self, links: DataFrame) -> DataFrame:
-        """Lists that hold several preliminary components, with the largest of each as ``major``."""
-        known = written(components(links), "components")
-        placed = self.members.join(known, "node", "left").select("gid", "node", "n", F.coalesce("component", "node").alias("component"))
-        self.placed = written(placed, "placed")
-        whole = self.placed.groupBy("gid").agg(F.min("component").alias("component"), F.max("component").alias("other"))
-        # A group that spans components is paired with itself and with all others of its lists.
-        self.whole = written(whole.withColumn("spans", F.col("component") != F.col("other")), "groups")
-        entries = self.shared.select("token", "gid", "n", "at").join(self.whole, "gid")
-        count = entries.groupBy("token", "component", "spans").agg(F.count("*").alias("c"))
-        major = count.groupBy("token").agg(F.count("*").alias("kinds"), F.max(F.struct(~F.col("spans"), "c", "component")).alias("top"))
-        major = major.where((F.col("kinds") > 1) | ~F.col("top.col1")).select("token", F.col("top.component").alias("major"))
-        return written(entries.join(major, "token"), "entries")
-
-    def to_hubs(self, entries: DataFrame, links: DataFrame) -> DataFrame:
-        """Pairs of what lies outside the largest component of a list with three of the best linked groups inside it."""
-        ends = links.select(F.col("a").alias("lead")).unionByName(links.select(F.col("b").alias("lead")))
-        degree = ends.groupBy("lead").agg(F.count("*").alias("degree")).join(self.lead, "lead").select("gid", "degree")
-        inner = entries.where(F.col("component") == F.col("major")).join(degree, "gid", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
-        level = F.floor(F.log2(F.col("degree") + 1))
-        ranks = [F.col("degree"), *[F.struct(level, F.xxhash64("gid", F.lit(r))) for r in (1, 2)]]
-        hubs = inner.groupBy("token").agg(*[F.max_by(F.struct("gid", "n"), r).alias(f"h{k}") for k, r in enumerate(ranks)])
-        outer = entries.where(F.col("component") != F.col("major")).join(hubs, "token")
-        return self.to_pivots(outer.select("gid", "n", F.explode(F.array("h0", "h1", "h2")).alias("pivot")))
+        """(a, b) of nodes: links, as many as the components need."""
+        members = self.nodes.select("node", "gid", "n")
+        leads = members.groupBy("gid").agg(F.min("node").alias("p"), F.count("*").alias("c"))
+        self.inside = self.written(members.join(leads.where("c > 1"), "gid").where("node <> p").select(F.col("node").alias("x"), "p"), "inside")
+        self.members = members
+        self.shared = self.lists(self.nodes)
+        self.sets = self.held()
+        families = []
+        if not self.inside.isEmpty():
+            # Members of a group that are not close to its lead get groups of their own.
+            first = self.near(self.inside)
+            families.append(first)
+            alone = self.inside.join(first.where(self.close()), ["x", "p"], "left_anti").select(F.col("x").alias("node"))
+            own = F.when(F.col("apart"), F.xxhash64("node", "gid")).otherwise(F.col("gid"))
+            nodes = self.nodes.join(alone.withColumn("apart", F.lit(True)), "node", "left").withColumn("gid", own).select("node", "gid", "n", "tokens")
+            nodes = self.written(nodes, "regrouped")
+            self.members = nodes.select("node", "gid", "n")
+            self.drop(self.shared)
+            self.shared = self.lists(nodes)
+        self.members = self.written(self.members, "members")
+        lead = self.members.groupBy("gid").agg(F.min("node").alias("p"))
+        entries = self.shared
+        for _ in range(ROUNDS):
+            # gid is a hash, so the least of a list is a pivot chosen at random, and the same one for lists with much in common
+            pivots = entries.groupBy("token").agg(F.min("gid").alias("pivot"))
+            entries = self.written(entries.join(pivots, "token").where("gid <> pivot"), "entries")
+            groups = entries.select("gid", "pivot").distinct()
+            pairs = groups.join(self.members.select("gid", F.col("node").alias("x")), "gid").join(lead.select(F.col("gid").alias("pivot"), "p"), "pivot")
+            pairs = self.written(pairs, "pairs")
+            found = self.near(pairs.select("x", "p"))
+            families.append(found)
+            far = pairs.join(found.where(self.close()).select("x", "p"), ["x", "p"], "left_anti").select("gid", "pivot").distinct()
+            left = entries.join(far, ["gid", "pivot"], "left_semi").drop("pivot")
+            lists = left.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
+            after = self.written(left.join(lists, "token"), "entries")
+            self.drop(entries, pairs)
+            entries = after
+        near = families[0]
+        for more in families[1:]:
+            near = near.unionByName(more)
+        near = self.written(near.dropDuplicates(["x", "p"]), "families")
+        self.drop(*families)
+        links = near.where(self.linking(F.col("nx") - F.col("extra"))).select(F.col("x").alias("a"), F.col("p").alias("b"))
+        known = self.written(components(links, self.scratch), "known")
+        self.place = lambda rows, x, c: rows.join(known.select(F.col("node").alias(x), F.col("component").alias(c)), x, "left").withColumn(c, F.coalesce(c, x))
+        out = self.written(links.unionByName(self.in_families(near)).unionByName(self.rest(entries)), "links")
+        self.drop(near, known, entries, self.shared, self.sets, self.members, self.inside)
+        return out
+
+    def lists(self, nodes: DataFrame) -> DataFrame:
+        """(token, gid, n, at): the groups that hold a token in their prefix, where there are several."""
+        one = nodes.groupBy("gid").agg(F.min("node").alias("node"))
+        postings = nodes.join(one.select("node"), "node", "left_semi").select(F.posexplode("tokens").alias("at", "token"), "gid", "n")
+        often = postings.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
+        return self.written(postings.join(often, "token").select("token", "gid", "n", "at"), "lists")
+
+    def in_families(self, near: DataFrame) -> DataFrame:
+        """Links between members of a family that the links to pivots leave in several components."""
+        heads = near.groupBy("p").agg(F.max("np").alias("np"))
+        itself = heads.select(F.col("p").alias("x"), "p", F.col("np").alias("nx"), "np", F.array().cast("array<long>").alias("delta"))
+        rows = self.place(near.select("x", "p", "nx", "np", "delta").unionByName(itself), "x", "cx")
+        rows = self.written(rows, "placed")
+        split = rows.groupBy("p").agg(F.count("*").alias("size"), F.min("cx").alias("c1"), F.max("cx").alias("c2")).where("c1 <> c2").select("p", "size")
+        split = self.written(split, "split")
+        family = self.written(rows.join(split.select("p"), "p", "left_semi"), "family")
+        self.drop(rows)
+        counts = self.written(family.select("p", F.explode("delta").alias("token")).groupBy("p", "token").agg(F.count("*").alias("c")).join(split, "p"), "counts")
+        centre = counts.where(2 * F.col("c") > F.col("size")).groupBy("p").agg(F.collect_list("token").alias("m"))
+        centre = split.join(centre, "p", "left").select("p", "size", F.coalesce("m", F.array().cast("array<long>")).alias("m"))
+        odd = lambda a: F.size(F.filter(a, lambda t: t.bitwiseAND(F.lit(1)) == 1))
+        even = lambda a: F.size(F.filter(a, lambda t: t.bitwiseAND(F.lit(1)) == 0))
+        rows = dealt(family, centre, "p", "x").withColumns({"own": F.array_except("delta", "m"), "not": F.array_except("m", "delta")})
+        lacks = even("own") + odd("not")
+        rows = rows.select(
+            "x", "p", "cx", "nx", (F.col("np") - even("m") + odd("m")).alias("centre"), (self.both * lacks + self.percent * F.col("nx")).alias("w"), F.concat("own", "not").alias("delta")
+        )
+        family2 = self.written(rows, "centred")
+        self.drop(family)
+        # Two members link when both * (centre + shared) >= w1 + w2, shared being what their differences have in common.
+        best = family2.groupBy("p").agg(F.min(F.struct("w", "x")).alias("best"))
+        rows = dealt(family2, best, "p", "x").withColumn("most", self.both * F.col("centre") - F.col("best.w"))  # what the best one surely links with
+        rows = self.written(rows.select("x", "p", "cx", "centre", "w", "delta", F.col("best.x").alias("hub"), "most", (F.col("w") > F.col("most")).alias("outer")), "centred")
+        self.drop(family2)
+        sure = rows.where("NOT outer AND x <> hub").select(F.col("x").alias("a"), F.col("hub").alias("b"))
+        # The least that a member must share: an outer one with any, an inner one with an outer one.
+        partner = F.when(F.col("outer"), self.both * F.col("centre") - F.col("most")).otherwise(F.col("most") + 1)
+        least = F.greatest(F.lit(1), F.ceil((F.col("w") + partner) / self.both) - F.col("centre"))
+        tokens = rows.withColumn("least", least).where(F.size("delta") >= F.col("least")).select("x", "p", "cx", "centre", "w", "outer", "least", F.explode("delta").alias("token"))
+        rank = F.when(2 * F.col("c") > F.col("size"), F.col("size") - F.col("c")).otherwise(F.col("c"))
+        ranked = tokens.join(counts.select("p", "token", rank.alias("rank")), ["p", "token"])
+        ordered = ranked.groupBy("x", "p", "cx", "centre", "w", "outer", "least").agg(F.array_sort(F.collect_list(F.struct("rank", "token"))).alias("d"))
+        ordered = ordered.withColumn("len", F.size("d")).select("x", "p", "cx", "centre", "w", "outer", "len", F.posexplode(F.expr("slice(d, 1, len - least + 1)")).alias("i", "t"))
+        posts = self.written(ordered.select("x", "p", "cx", "centre", "w", "outer", (F.col("len") - F.col("i")).alias("left"), "t.token"), "differences")
+        self.drop(counts)
+        y = posts.select("p", "token", F.col("x").alias("y"), F.col("cx").alias("cy"), F.col("w").alias("wy"), F.col("outer").alias("oy"), F.col("left").alias("ly"))
+        need = F.ceil((F.col("w") + F.col("wy")) / self.both) - F.col("centre")
+        fits = (F.col("cx") != F.col("cy")) & (~F.col("oy") | (F.col("x") < F.col("y"))) & (F.col("left") >= need) & (F.col("ly") >= need)
+        pairs = self.written(posts.where("outer").join(y, ["p", "token"]).where(fits).select("p", "x", "y").distinct(), "candidates")
+        side = lambda x, k: rows.select("p", F.col("x").alias(x), F.col("delta").alias(f"d{k}"), F.col("w").alias(f"w{k}"), F.col("centre").alias(f"m{k}"))
+        shared = F.size(F.array_intersect("d1", "d2"))
+        held = pairs.join(side("x", 1), ["p", "x"]).join(side("y", 2), ["p", "y"]).where(self.both * (F.col("m1") + shared) >= F.col("w1") + F.col("w2"))
+        out = self.written(sure.unionByName(held.select(F.col("x").alias("a"), F.col("y").alias("b"))), "family-links")
+        self.drop(rows, posts, pairs, split)
+        return out
+
+    def position_fits(self, i: str, n: str, other: str) -> Column:
+        """Whether sets of n and other tokens can be similar if the first token that they share is at place i of the one of n."""
+        return self.both * (F.col(n) - F.col(i)) >= self.percent * (F.col(n) + F.col(other))
 
     def rest(self, entries: DataFrame) -> DataFrame:
-        """All pairs that can still join components. Similar sets have a first common token; only lists in which both may
-        have it at their places give a pair (position filter)."""
-        minor = entries.where((F.col("component") != F.col("major")) | F.col("spans")).select("token", F.col("gid").alias("g1"), F.col("n").alias("n1"), F.col("at").alias("i1"), F.col("component").alias("c1"), F.col("spans").alias("s1"))
-        every = entries.select("token", F.col("gid").alias("g2"), F.col("n").alias("n2"), F.col("at").alias("i2"), F.col("component").alias("c2"), F.col("spans").alias("s2"))
-        apart = (F.col("c1") != F.col("c2")) | F.col("s1") | F.col("s2")
-        fits = self.sizes_agree() & self.position_fits("i1", "n1", "n2") & self.position_fits("i2", "n2", "n1")
-        groups = minor.join(every, "token").where((F.col("g1") != F.col("g2")) & apart & fits).select(F.least("g1", "g2").alias("g1"), F.greatest("g1", "g2").alias("g2")).distinct()
-        groups = groups.unionByName(self.whole.where("spans").select(F.col("gid").alias("g1"), F.col("gid").alias("g2")))
-        side = lambda k, x: self.placed.select(F.col("gid").alias(f"g{k}"), F.col("node").alias(x), F.col("component").alias(f"p{k}"))
-        return groups.join(side(1, "a"), "g1").join(side(2, "b"), "g2").where("p1 <> p2").select("a", "b")
+        """Links among what no pivot is near to. Similar sets have a first common token; only lists in which both may have
+        it at their places give a pair (position filter)."""
+        side = lambda k: entries.select("token", F.col("gid").alias(f"g{k}"), F.col("n").alias(f"n{k}"), F.col("at").alias(f"i{k}"))
+        fits = self.position_fits("i1", "n1", "n2") & self.position_fits("i2", "n2", "n1") & (100 * F.least("n1", "n2") >= self.percent * F.greatest("n1", "n2"))
+        groups = side(1).join(side(2), "token").where((F.col("g1") < F.col("g2")) & fits).select("g1", "g2").distinct()
+        member = lambda k, x: self.place(self.members, "node", "c").select(F.col("gid").alias(f"g{k}"), F.col("node").alias(x), F.col("c").alias(f"c{k}"))
+        pairs = self.written(groups.join(member(1, "x"), "g1").join(member(2, "p"), "g2").where("c1 <> c2").select("x", "p"), "pairs")
+        found = self.near(pairs)
+        self.drop(pairs)
+        return found.where(self.linking(F.col("nx") - F.col("extra"))).select(F.col("x").alias("a"), F.col("p").alias("b"))
 
 
 def _labelled(join: _Join) -> DataFrame:
     """(n, f1, f2, component_id, b1, b2): each distinct set with the smallest doc_id of its component and the key of the
     row that stays: the first by id and key, without an id only where no row has one."""
-    found = components(join.links())
-    nodes = join.nodes.join(found, "node", "left").select("n", "f1", "f2", "label", "k1", "k2", F.coalesce("component", "node").alias("component"))
-    least = nodes.groupBy("component").agg(F.min("label").alias("component_id"), F.min(F.struct(F.isnull("label"), "label", "k1", "k2")).alias("best"))
-    return written(nodes.join(least, "component").select("n", "f1", "f2", "component_id", F.col("best.k1").alias("b1"), F.col("best.k2").alias("b2")), "labelled")
+    links = join.links()
+    found = join.written(components(links, join.scratch), "found")
+    join.drop(links)
+    best = F.min(F.struct(F.isnull("doc_id"), "doc_id", "k1", "k2"))
+    own = join.rows.where("n > 0").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("label"), best.alias("best"))
+    nodes = join.nodes.select("node", "n", "f1", "f2").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).join(own, ["n", "f1", "f2"])
+    least = nodes.groupBy("component").agg(F.min("label").alias("component_id"), F.min("best").alias("best"))
+    out = join.written(nodes.drop("best").join(least, "component").select("n", "f1", "f2", "component_id", F.col("best.k1").alias("b1"), F.col("best.k2").alias("b2")), "labelled")
+    join.drop(found, join.nodes)
+    return out
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
@@ -351,10 +447,10 @@ def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     with the smallest hash; a row without an id only where none has one. Rows with an empty set all stay."""
     join = _Join(docs, id_col, text_col, size, percent)
     best = (F.col("k1") == F.col("b1")) & (F.col("k2") == F.col("b2"))
-    judged = written(join.rows.join(_labelled(join), ["n", "f1", "f2"]).select("k1", "k2", best.alias("best")), "judged")
+    judged = join.written(join.rows.join(_labelled(join), ["n", "f1", "f2"]).select("k1", "k2", best.alias("best")), "judged")
     keys = ["__k1", "__k2"]
     gone = judged.where("NOT best").select("k1", "k2").distinct().toDF(*keys)
-    again = written(judged.where("best").groupBy("k1", "k2").agg(F.count("*").alias("c")).where("c > 1").select("k1", "k2").toDF(*keys), "again")
+    again = join.written(judged.where("best").groupBy("k1", "k2").agg(F.count("*").alias("c")).where("c > 1").select("k1", "k2").toDF(*keys), "again")
     key = (F.col(id_col), F.col(text_col).cast("string"))
     left = docs.withColumns({"__k1": F.xxhash64(*key), "__k2": F.hash(*key)}).join(gone, keys, "left_anti")
     if not again.isEmpty():  # rows that repeat id and text

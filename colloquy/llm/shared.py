@@ -42,6 +42,30 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+class Scratch:
+    """Tables of one operator run in the shared folder; what has been superseded is deleted at once."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.at: dict[int, tuple[DataFrame, str]] = {}
+
+    def written(self, df: DataFrame, label: str) -> DataFrame:
+        path = shared_path(self.spark, label)
+        schema = df.schema
+        df.write.parquet(path)
+        out = self.spark.read.schema(schema).parquet(path)
+        self.at[id(out)] = (out, path)
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that nothing reads any more; others than those written here are left alone."""
+        for df in tables:
+            _, path = self.at.pop(id(df), (None, None))
+            if path:
+                place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns in use, so that others may have any name or content."""
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
