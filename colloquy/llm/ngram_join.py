@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .components import components
 from .shared import Roller, Scratch, arrow_bytes, mix, texts, word_hashes, word_spans
@@ -194,46 +195,50 @@ def _signed(size: int, percent: int, frequent):
             head = np.concatenate([[0], np.cumsum(np.minimum(prefix_length(n, percent), n))])
             group = _sum_by_row(head, mix(tokens[own], 0x3C6EF372)) ^ mix(n.astype(np.uint64), 0xA54FF53A)
             lists = pa.ListArray.from_arrays(pa.array(head.astype(np.int32)), pa.array(tokens[own].view(np.int64)))
-            keys = [batch.column(c) for c in ("doc_id", "k1", "k2")]
-            yield pa.RecordBatch.from_arrays([*keys, pa.array(n), pa.array(one), pa.array(two), pa.array(group.view(np.int64)), lists], ["doc_id", "k1", "k2", "n", "f1", "f2", "gid", "tokens"])
+            bit = (tokens >> np.uint64(8)) & np.uint64(64 * BITMAP - 1)
+            odd = np.bincount(row * 64 * BITMAP + bit.astype(np.int64), minlength=len(n) * 64 * BITMAP).astype(np.uint8) & 1
+            words = np.packbits(odd.reshape(-1, 64), axis=1, bitorder="little").reshape(-1).view("<i8")
+            parity = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * BITMAP), pa.array(words))
+            columns = [batch.column(c) for c in ("doc_id", "k1", "k2")] + [pa.array(n), pa.array(one), pa.array(two), pa.array(group.view(np.int64)), lists, parity]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "k1", "k2", "n", "f1", "f2", "gid", "tokens", "bits"])
 
     return run
 
 
 def _sets(size: int, wanted):
-    """Whole sets of the rows whose keys the filter lets pass, with their parity bitmaps."""
+    """Whole sets of the rows whose keys the filter lets pass, each key once in a task."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        bits = wanted.value
+        bits, seen = wanted.value, set()
 
         def likely(whole):
-            slot = whole.column("k1").to_numpy() & ((1 << FILTER_BITS) - 1)
-            return whole.filter(pa.array((bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)))
+            k1, k2 = whole.column("k1").to_numpy(), whole.column("k2").to_numpy()
+            slot = k1 & ((1 << FILTER_BITS) - 1)
+            passed = (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+            for i in np.flatnonzero(passed).tolist():
+                key = (k1[i], k2[i])
+                passed[i] = key not in seen
+                seen.add(key)
+            return whole.filter(pa.array(passed))
 
         for batch in _batches(map(likely, batches)):
             first, tokens = shingle_sets(batch.column("text"), size)
-            n = np.diff(first)
-            row = np.repeat(np.arange(len(n)), n)
-            bit = (tokens >> np.uint64(8)) & np.uint64(64 * BITMAP - 1)
-            odd = np.bincount(row * 64 * BITMAP + bit.astype(np.int64), minlength=len(n) * 64 * BITMAP).astype(np.uint8) & 1
-            words = np.packbits(odd.reshape(-1, 64), axis=1, bitorder="little").reshape(-1).view("<i8")
-            parity = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * BITMAP), pa.array(words))
             lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(tokens.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("k1"), batch.column("k2"), parity, lists], ["k1", "k2", "bits", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column("k1"), batch.column("k2"), lists], ["k1", "k2", "tokens"])
 
     return run
 
 
 def dealt(many: DataFrame, one: DataFrame, key: str, by: str) -> DataFrame:
     """many joined with one, which has a row for each key. Keys with many rows are dealt out by the column ``by``, and
-    their row in ``one`` repeated as often."""
+    their row in ``one`` repeated as often; ``way`` tells the share."""
     hot = many.groupBy(key).agg(F.count("*").alias("c")).where(F.col("c") > HOT).select(key, F.ceil(F.col("c") / HOT).cast("int").alias("ways"))
     ways = F.coalesce("ways", F.lit(1))
     many = many.join(hot, key, "left").withColumn("way", F.pmod(F.hash(by), ways)).drop("ways")
     one = one.join(hot, key, "left").withColumn("way", F.explode(F.sequence(F.lit(0), ways - 1))).drop("ways")
-    return many.join(one, [key, "way"]).drop("way")
+    return many.join(one, [key, "way"])
 
 
 class _Join:
@@ -246,47 +251,43 @@ class _Join:
         kind = body.schema["doc_id"].dataType.simpleString()
         frequent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(body, size, self.scratch))
         signed = self.body.select("doc_id", "k1", "k2", "text").mapInArrow(
-            _signed(size, percent, frequent), f"doc_id {kind}, k1 long, k2 int, n long, f1 long, f2 long, gid long, tokens array<long>"
+            _signed(size, percent, frequent), f"doc_id {kind}, k1 long, k2 int, n long, f1 long, f2 long, gid long, tokens array<long>, bits array<long>"
         )
         signed = self.written(signed, "signed")
         frequent.destroy()  # what it served is written
-        self.rows = self.written(signed.drop("gid", "tokens"), "rows")
-        one = F.min(F.struct("k1", "k2", "gid", "tokens")).alias("one")
+        self.rows = self.written(signed.drop("gid", "tokens", "bits"), "rows")
+        one = F.min(F.struct("k1", "k2", "gid", "tokens", "bits")).alias("one")
         nodes = signed.where("n > 0").groupBy("n", "f1", "f2").agg(one).select(F.monotonically_increasing_id().alias("node"), "n", "f1", "f2", "one.*")
         self.nodes = self.written(nodes, "nodes")
         self.drop(signed)
-
-    def held(self) -> DataFrame:
-        """(node, n, bits, tokens) of every node that shares a list or a group with another one, written once."""
-        few = self.members.join(self.shared.select("gid").distinct(), "gid", "left_semi").select("node").unionByName(self.inside.select(F.col("x").alias("node"))).unionByName(self.inside.select(F.col("p").alias("node")))
-        keys = self.written(self.nodes.join(few.distinct(), "node", "left_semi").select("node", "n", "k1", "k2"), "keys")
-        slots = keys.select(F.col("k1").bitwiseAND((1 << FILTER_BITS) - 1).cast("int").alias("slot")).distinct().toArrow().column(0).to_numpy()
-        bits = np.zeros(1 << FILTER_BITS, np.uint8)
-        bits[slots] = 1
-        wanted = self.nodes.sparkSession.sparkContext.broadcast(np.packbits(bits, bitorder="little"))
-        sets = self.body.select("k1", "k2", "text").mapInArrow(_sets(self.size, wanted), "k1 long, k2 int, bits array<long>, tokens array<long>")
-        sets = sets.groupBy("k1", "k2").agg(F.min(F.struct("bits", "tokens")).alias("s")).join(keys, ["k1", "k2"])  # rows may repeat id and text
-        sets = self.written(sets.select("node", "n", "s.bits", "s.tokens"), "sets")
-        wanted.destroy()
-        self.drop(keys)
-        return sets
+        self.scratch.release()
 
     def near(self, pairs: DataFrame) -> DataFrame:
-        """(x, p, nx, np, delta) of the pairs (x, p) whose sets share half of what they have; delta holds what only x has
-        (odd) and what only p has (even)."""
+        """(x, p, nx, np, extra, delta) of the pairs (x, p) whose sets share half of what they have; delta holds the
+        ``extra`` tokens that only x has (odd) and those that only p has (even)."""
         # Sets that differ in d places of their bitmaps differ in d tokens at least.
-        side = lambda x, k: self.sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"b{k}"))
+        side = lambda x, k: self.nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"b{k}"))
         apart = F.aggregate(F.zip_with("b1", "b2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
         most = F.least("nx", "np", (F.col("nx") + F.col("np") - apart) / 2)
-        likely = dealt(pairs.join(side("x", 1), "x"), side("p", 2), "p", "x").where(3 * most >= F.col("nx") + F.col("np")).select("x", "p", "nx", "np")
+        likely = dealt(pairs.join(side("x", 1), "x"), side("p", 2), "p", "x").where(3 * most >= F.col("nx") + F.col("np")).select("x", "p", "way", "nx", "np")
         likely = self.written(likely, "likely")
-        tokens = lambda x, k: self.sets.select(F.col("node").alias(x), F.col("tokens").alias(k))
+        # Each set goes once to the pairs that it is part of, the one of p with a mark; then all meet by p.
+        itself = likely.select(F.col("p").alias("x"), "p", "way", F.col("np").alias("nx"), "np").distinct()
+        keyed = self.written(likely.unionByName(itself).join(self.nodes.select(F.col("node").alias("x"), "k1", "k2"), "x"), "keyed")
+        bits = np.zeros(1 << FILTER_BITS, np.uint8)
+        bits[keyed.select(F.col("k1").bitwiseAND((1 << FILTER_BITS) - 1).cast("int").alias("slot")).distinct().toArrow().column(0).to_numpy()] = 1
+        wanted = self.nodes.sparkSession.sparkContext.broadcast(np.packbits(bits, bitorder="little"))
+        sets = self.body.select("k1", "k2", "text").mapInArrow(_sets(self.size, wanted), "k1 long, k2 int, tokens array<long>")
+        rows = keyed.join(sets, ["k1", "k2"])
+        whole = Window.partitionBy("p", "way").orderBy(F.col("x") != F.col("p")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        rows = rows.select("x", "p", "nx", "np", "tokens", F.first("tokens").over(whole).alias("of_p")).where("x <> p")
         # In the JVM, pair by pair: Arrow batches of pairs of whole sets would take much memory on both sides.
-        both = dealt(likely.join(tokens("x", "t1"), "x"), tokens("p", "t2"), "p", "x").withColumn("extra", F.array_except("t1", "t2"))
-        both = both.where(3 * (F.col("nx") - F.size("extra")) >= F.col("nx") + F.col("np"))
-        delta = F.concat(F.transform("extra", lambda t: F.shiftleft(t, 1).bitwiseOR(F.lit(1))), F.transform(F.array_except("t2", "t1"), lambda t: F.shiftleft(t, 1)))
-        found = self.written(both.select("x", "p", "nx", "np", F.size("extra").alias("extra"), delta.alias("delta")), "near")
-        self.drop(likely)
+        rows = rows.withColumn("only", F.array_except("tokens", "of_p")).where(3 * (F.col("nx") - F.size("only")) >= F.col("nx") + F.col("np"))
+        delta = F.concat(F.transform("only", lambda t: F.shiftleft(t, 1).bitwiseOR(F.lit(1))), F.transform(F.array_except("of_p", "tokens"), lambda t: F.shiftleft(t, 1)))
+        found = self.written(rows.select("x", "p", "nx", "np", F.size("only").alias("extra"), delta.alias("delta")), "near")
+        wanted.destroy()
+        self.drop(likely, keyed)
+        self.scratch.release()
         return found
 
     def linking(self, same: Column, n1: str = "nx", n2: str = "np") -> Column:
@@ -299,42 +300,36 @@ class _Join:
 
     def links(self) -> DataFrame:
         """(a, b) of nodes: links, as many as the components need."""
-        members = self.nodes.select("node", "gid", "n")
-        leads = members.groupBy("gid").agg(F.min("node").alias("p"), F.count("*").alias("c"))
-        self.inside = self.written(members.join(leads.where("c > 1"), "gid").where("node <> p").select(F.col("node").alias("x"), "p"), "inside")
-        self.members = members
-        self.shared = self.lists(self.nodes)
-        self.sets = self.held()
-        families = []
-        if not self.inside.isEmpty():
-            # Members of a group that are not close to its lead get groups of their own.
-            first = self.near(self.inside)
-            families.append(first)
-            alone = self.inside.join(first.where(self.close()), ["x", "p"], "left_anti").select(F.col("x").alias("node"))
-            own = F.when(F.col("apart"), F.xxhash64("node", "gid")).otherwise(F.col("gid"))
-            nodes = self.nodes.join(alone.withColumn("apart", F.lit(True)), "node", "left").withColumn("gid", own).select("node", "gid", "n", "tokens")
-            nodes = self.written(nodes, "regrouped")
-            self.members = nodes.select("node", "gid", "n")
-            self.drop(self.shared)
-            self.shared = self.lists(nodes)
-        self.members = self.written(self.members, "members")
-        lead = self.members.groupBy("gid").agg(F.min("node").alias("p"))
-        entries = self.shared
-        for _ in range(ROUNDS):
+        leads = self.nodes.groupBy("gid").agg(F.min("node").alias("p"))
+        lead = self.written(leads, "leads")
+        inside = self.nodes.select("gid", F.col("node").alias("x")).join(lead, "gid").where("x <> p")
+        inside = self.written(inside.withColumn("pivot", F.col("gid")), "inside")
+        self.members = self.nodes.select("node", "gid", "n")
+        entries, families = self.lists(lead), []
+        for k in range(ROUNDS):
             # gid is a hash, so the least of a list is a pivot chosen at random, and the same one for lists with much in common
             pivots = entries.groupBy("token").agg(F.min("gid").alias("pivot"))
-            entries = self.written(entries.join(pivots, "token").where("gid <> pivot"), "entries")
+            entries = self.step(entries, self.written(entries.join(pivots, "token").where("gid <> pivot"), "entries"))
             groups = entries.select("gid", "pivot").distinct()
             pairs = groups.join(self.members.select("gid", F.col("node").alias("x")), "gid").join(lead.select(F.col("gid").alias("pivot"), "p"), "pivot")
-            pairs = self.written(pairs, "pairs")
+            pairs = pairs.select("gid", "pivot", "x", "p")
+            pairs = self.written(pairs.unionByName(inside) if k == 0 else pairs, "pairs")
             found = self.near(pairs.select("x", "p"))
             families.append(found)
-            far = pairs.join(found.where(self.close()).select("x", "p"), ["x", "p"], "left_anti").select("gid", "pivot").distinct()
-            left = entries.join(far, ["gid", "pivot"], "left_semi").drop("pivot")
+            far = pairs.join(found.where(self.close()).select("x", "p"), ["x", "p"], "left_anti")
+            left = entries.join(far.select("gid", "pivot").distinct(), ["gid", "pivot"], "left_semi").drop("pivot")
+            if k == 0:
+                # Members of a group that are not close to its lead get groups of their own.
+                alone = self.written(far.where("gid = pivot").select(F.col("x").alias("node"), F.xxhash64("x", "gid").alias("own")), "alone")
+                self.members = self.written(self.members.join(alone, "node", "left").select("node", F.coalesce("own", "gid").alias("gid"), "n"), "members")
+                posts = self.nodes.join(alone, "node").select(F.posexplode("tokens").alias("at", "token"), F.col("own").alias("gid"), "n")
+                left = left.unionByName(posts.select("token", "gid", "n", "at"))
+                lead = self.step(lead, self.written(lead.unionByName(alone.select(F.col("own").alias("gid"), F.col("node").alias("p"))), "leads"))
             lists = left.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-            after = self.written(left.join(lists, "token"), "entries")
-            self.drop(entries, pairs)
-            entries = after
+            entries = self.step(entries, self.written(left.join(lists, "token"), "entries"))
+            self.drop(pairs)
+            if k == 0:
+                self.drop(alone, inside)
         near = families[0]
         for more in families[1:]:
             near = near.unionByName(more)
@@ -344,13 +339,17 @@ class _Join:
         known = self.written(components(links, self.scratch), "known")
         self.place = lambda rows, x, c: rows.join(known.select(F.col("node").alias(x), F.col("component").alias(c)), x, "left").withColumn(c, F.coalesce(c, x))
         out = self.written(links.unionByName(self.in_families(near)).unionByName(self.rest(entries)), "links")
-        self.drop(near, known, entries, self.shared, self.sets, self.members, self.inside)
+        self.drop(near, known, entries, lead, self.members)
         return out
 
-    def lists(self, nodes: DataFrame) -> DataFrame:
+    def step(self, before: DataFrame, after: DataFrame) -> DataFrame:
+        self.drop(before)
+        return after
+
+    def lists(self, lead: DataFrame) -> DataFrame:
         """(token, gid, n, at): the groups that hold a token in their prefix, where there are several."""
-        one = nodes.groupBy("gid").agg(F.min("node").alias("node"))
-        postings = nodes.join(one.select("node"), "node", "left_semi").select(F.posexplode("tokens").alias("at", "token"), "gid", "n")
+        first = self.nodes.join(lead.select(F.col("p").alias("node")), "node", "left_semi")
+        postings = first.select(F.posexplode("tokens").alias("at", "token"), "gid", "n")
         often = postings.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
         return self.written(postings.join(often, "token").select("token", "gid", "n", "at"), "lists")
 
@@ -360,7 +359,7 @@ class _Join:
         itself = heads.select(F.col("p").alias("x"), "p", F.col("np").alias("nx"), "np", F.array().cast("array<long>").alias("delta"))
         rows = self.place(near.select("x", "p", "nx", "np", "delta").unionByName(itself), "x", "cx")
         rows = self.written(rows, "placed")
-        split = rows.groupBy("p").agg(F.count("*").alias("size"), F.min("cx").alias("c1"), F.max("cx").alias("c2")).where("c1 <> c2").select("p", "size")
+        split = rows.groupBy("p").agg(F.count("*").alias("size"), F.min("cx").alias("c1"), F.max("cx").alias("c2")).where("c1 <> c2 AND size > 2").select("p", "size")  # a pair is decided already
         split = self.written(split, "split")
         family = self.written(rows.join(split.select("p"), "p", "left_semi"), "family")
         self.drop(rows)

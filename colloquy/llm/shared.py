@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -65,6 +66,11 @@ class Scratch:
                 place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
                 place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
 
+    def release(self) -> None:
+        """Let executors delete the shuffle files of finished queries, which stay until the driver collects garbage."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns in use, so that others may have any name or content."""
