@@ -6,7 +6,7 @@ identical prefix and size are one group; group pairs come from lists of the grou
 are expanded to their members. A large set of near copies never becomes all its pairs:
 
 - Each list has a pivot group. Members of the other groups are held against the pivot's lead, which gives links and, for
-  those that share half of what they have with it, their difference from it. Jaccard distance is a metric, so a link
+  those that share much of what they have with it, their difference from it. Jaccard distance is a metric, so a link
   between two members of a list has both of them near the pivot, or neither close to it. The latter stay in the list for
   a further round with another pivot; what then remains is paired (size and position filters) and verified.
 - What is near one pivot is a family. Its centre is the majority vote over its members' tokens. Sets whose differences
@@ -244,6 +244,7 @@ def dealt(many: DataFrame, one: DataFrame, key: str, by: str) -> DataFrame:
 class _Join:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int):
         self.size, self.percent, self.both = size, percent, 100 + percent
+        self.half = max(10, 2 * percent - 110)  # what is near a pivot; what is close lies between this and a link
         self.scratch = Scratch(docs.sparkSession)
         self.written, self.drop = self.scratch.written, self.scratch.drop
         body = texts(docs, id_col, text_col)
@@ -255,6 +256,7 @@ class _Join:
         )
         signed = self.written(signed, "signed")
         frequent.destroy()  # what it served is written
+        self.scratch.release()
         self.rows = self.written(signed.drop("gid", "tokens", "bits"), "rows")
         one = F.min(F.struct("k1", "k2", "gid", "tokens", "bits")).alias("one")
         nodes = signed.where("n > 0").groupBy("n", "f1", "f2").agg(one).select(F.monotonically_increasing_id().alias("node"), "n", "f1", "f2", "one.*")
@@ -263,26 +265,27 @@ class _Join:
         self.scratch.release()
 
     def near(self, pairs: DataFrame) -> DataFrame:
-        """(x, p, nx, np, extra, delta) of the pairs (x, p) whose sets share half of what they have; delta holds the
+        """(x, p, nx, np, extra, delta) of the pairs (x, p) whose similarity is ``half`` or more; delta holds the
         ``extra`` tokens that only x has (odd) and those that only p has (even)."""
         # Sets that differ in d places of their bitmaps differ in d tokens at least.
         side = lambda x, k: self.nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"b{k}"))
         apart = F.aggregate(F.zip_with("b1", "b2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
         most = F.least("nx", "np", (F.col("nx") + F.col("np") - apart) / 2)
-        likely = dealt(pairs.join(side("x", 1), "x"), side("p", 2), "p", "x").where(3 * most >= F.col("nx") + F.col("np")).select("x", "p", "way", "nx", "np")
+        likely = dealt(pairs.join(side("x", 1), "x"), side("p", 2), "p", "x").where((100 + self.half) * most >= self.half * (F.col("nx") + F.col("np"))).select("x", "p", "way", "nx", "np")
         likely = self.written(likely, "likely")
         # Each set goes once to the pairs that it is part of, the one of p with a mark; then all meet by p.
         itself = likely.select(F.col("p").alias("x"), "p", "way", F.col("np").alias("nx"), "np").distinct()
         keyed = self.written(likely.unionByName(itself).join(self.nodes.select(F.col("node").alias("x"), "k1", "k2"), "x"), "keyed")
         bits = np.zeros(1 << FILTER_BITS, np.uint8)
         bits[keyed.select(F.col("k1").bitwiseAND((1 << FILTER_BITS) - 1).cast("int").alias("slot")).distinct().toArrow().column(0).to_numpy()] = 1
+        self.scratch.release()
         wanted = self.nodes.sparkSession.sparkContext.broadcast(np.packbits(bits, bitorder="little"))
         sets = self.body.select("k1", "k2", "text").mapInArrow(_sets(self.size, wanted), "k1 long, k2 int, tokens array<long>")
         rows = keyed.join(sets, ["k1", "k2"])
         whole = Window.partitionBy("p", "way").orderBy(F.col("x") != F.col("p")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         rows = rows.select("x", "p", "nx", "np", "tokens", F.first("tokens").over(whole).alias("of_p")).where("x <> p")
         # In the JVM, pair by pair: Arrow batches of pairs of whole sets would take much memory on both sides.
-        rows = rows.withColumn("only", F.array_except("tokens", "of_p")).where(3 * (F.col("nx") - F.size("only")) >= F.col("nx") + F.col("np"))
+        rows = rows.withColumn("only", F.array_except("tokens", "of_p")).where((100 + self.half) * (F.col("nx") - F.size("only")) >= self.half * (F.col("nx") + F.col("np")))
         delta = F.concat(F.transform("only", lambda t: F.shiftleft(t, 1).bitwiseOR(F.lit(1))), F.transform(F.array_except("of_p", "tokens"), lambda t: F.shiftleft(t, 1)))
         found = self.written(rows.select("x", "p", "nx", "np", F.size("only").alias("extra"), delta.alias("delta")), "near")
         wanted.destroy()
@@ -296,7 +299,7 @@ class _Join:
     def close(self) -> Column:
         """Whether x shares so much with p that it cannot link with what is not near p."""
         same = F.col("nx") - F.col("extra")
-        return 100 * same >= (150 - self.percent) * (F.col("nx") + F.col("np") - same)
+        return 100 * same >= (100 + self.half - self.percent) * (F.col("nx") + F.col("np") - same)
 
     def links(self) -> DataFrame:
         """(a, b) of nodes: links, as many as the components need."""
@@ -335,6 +338,7 @@ class _Join:
             near = near.unionByName(more)
         near = self.written(near.dropDuplicates(["x", "p"]), "families")
         self.drop(*families)
+        self.scratch.release()
         links = near.where(self.linking(F.col("nx") - F.col("extra"))).select(F.col("x").alias("a"), F.col("p").alias("b"))
         known = self.written(components(links, self.scratch), "known")
         self.place = lambda rows, x, c: rows.join(known.select(F.col("node").alias(x), F.col("component").alias(c)), x, "left").withColumn(c, F.coalesce(c, x))
@@ -351,7 +355,9 @@ class _Join:
         first = self.nodes.join(lead.select(F.col("p").alias("node")), "node", "left_semi")
         postings = first.select(F.posexplode("tokens").alias("at", "token"), "gid", "n")
         often = postings.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-        return self.written(postings.join(often, "token").select("token", "gid", "n", "at"), "lists")
+        out = self.written(postings.join(often, "token").select("token", "gid", "n", "at"), "lists")
+        self.scratch.release()
+        return out
 
     def in_families(self, near: DataFrame) -> DataFrame:
         """Links between members of a family that the links to pivots leave in several components."""
@@ -400,6 +406,7 @@ class _Join:
         held = pairs.join(side("x", 1), ["p", "x"]).join(side("y", 2), ["p", "y"]).where(self.both * (F.col("m1") + shared) >= F.col("w1") + F.col("w2"))
         out = self.written(sure.unionByName(held.select(F.col("x").alias("a"), F.col("y").alias("b"))), "family-links")
         self.drop(rows, posts, pairs, split)
+        self.scratch.release()
         return out
 
     def position_fits(self, i: str, n: str, other: str) -> Column:
