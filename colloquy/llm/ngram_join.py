@@ -67,7 +67,7 @@ def shingle_sets(column, size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(row, np.arange(len(count) + 1)), tokens
 
 
-def _batches(batches: Iterator, rows: int = 400, size: int = 1_000_000) -> Iterator:
+def _batches(batches: Iterator, rows: int = 400, size: int = 250_000) -> Iterator:
     """Slices of few rows and about ``size`` bytes of text, so that memory depends on neither batch nor text lengths."""
     import pyarrow.compute as pc
 
@@ -108,7 +108,7 @@ def _counted(size: int, parts: int):
             _, tokens = shingle_sets(batch.column("text"), size)
             held.append(tokens >> np.uint64(24))
             n += len(tokens)
-            if n > 2_000_000:
+            if n > 500_000:
                 yield flush()
                 n = 0
         if n:
