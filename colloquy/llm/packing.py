@@ -84,7 +84,8 @@ class SentenceTokenizer:
     """Ids as the tokenizers library gives them, with the places after which a sentence ends.
 
     Where the file is a plain byte-level BPE whose ids rise with its merges, texts of settled characters go through
-    tiktoken with the same merges, which keeps no offsets and gives the same ids; all others go through the library.
+    tiktoken with the same merges, which keeps no offsets and gives the same ids; all others, and those that hold the
+    string of an added token, go through the library.
     """
 
     def __init__(self, path: str):
@@ -94,7 +95,6 @@ class SentenceTokenizer:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         vocab = self.library.get_vocab(with_added_tokens=True)
         self.packed = np.dtype("<u2" if max(vocab.values()) < 1 << 16 else "<u4")
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
@@ -103,6 +103,8 @@ class SentenceTokenizer:
         with open(path, encoding="utf-8") as f:
             self.plain, self.runless = self._merges(json.load(f))
         self._settled = re.compile(SETTLED).fullmatch
+        added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self._added = re.compile("|".join(map(re.escape, added))).search if added else lambda text: None
 
     @staticmethod
     def _merges(spec: dict) -> tuple:
@@ -130,7 +132,7 @@ class SentenceTokenizer:
         )
 
     def ids(self, text: str) -> np.ndarray:
-        if self.plain is not None and self._settled(text):
+        if self.plain is not None and self._settled(text) and not self._added(text):
             own = self.plain if any(r in text for r in RUNS) else self.runless
             return own.encode_to_numpy(text, disallowed_special=()).astype(self.packed)
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.packed)
