@@ -12,7 +12,6 @@ training rows; other columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,10 +23,10 @@ from .shared import arrow_bytes
 
 #: n: bits of the hashed space.
 ORDERS = {1: 8, 2: 13, 3: 14, 4: 14}
-#: Bounds of the labelled sample: rows for each language, landmarks for each language, languages.
-SAMPLE, LANDMARKS, LANGUAGES = 250, 48, 200
+#: Bounds of the labelled sample: rows for each language and in all, landmarks for each language and in all. With more
+#: languages than these take in full, each language has fewer; its first rows come before the second ones of any other.
+SAMPLE, ROWS, LANDMARKS, MARKS = 250, 4_000, 48, 800
 RIDGE, SHARPNESS, BATCH = 1e-3, 8.0, 128
-LETTER = re.compile(r"[^\W\d_]")
 
 _CLASS = np.arange(256, dtype=np.uint32)
 _CLASS[ord("A") : ord("Z") + 1] += 32
@@ -64,23 +63,32 @@ def features_of(texts: list[str]) -> dict[int, np.ndarray]:
     return presence(np.frombuffer(b"".join(data), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in data])]).astype(np.int64))
 
 
+def _batches(texts: list[str]) -> Iterator[tuple[int, int, dict[int, np.ndarray]]]:
+    for at in range(0, len(texts), BATCH):
+        yield at, min(at + BATCH, len(texts)), features_of(texts[at : at + BATCH])
+
+
 def learn(texts: list[str], labels: list[str]) -> dict | None:
-    """Matrices for each n, and the languages in order."""
+    """Matrices for each n, and the languages in order. Only the landmarks' features are held; those of the sample pass by
+    in batches."""
     names = sorted(set(labels))
     if not names:
         return None
-    parts = [features_of(texts[i : i + BATCH]) for i in range(0, len(texts), BATCH)]
-    x = {n: np.concatenate([p[n] for p in parts]) for n in ORDERS}
-    marks = np.array([i for name in names for i in [k for k, y in enumerate(labels) if y == name][:LANDMARKS]])
-    gram = sum(x[n] @ x[n][marks].T for n in ORDERS) / len(ORDERS)
-    value, vector = np.linalg.eigh(gram[marks].astype(np.float64))
+    each = max(1, min(LANDMARKS, MARKS // len(names)))
+    marks = [i for name in names[:MARKS] for i in [k for k, y in enumerate(labels) if y == name][:each]]
+    held = [x for _, _, x in _batches([texts[i] for i in marks])]
+    mark = {n: np.concatenate([x[n] for x in held]) for n in ORDERS}
+    value, vector = np.linalg.eigh((sum(mark[n] @ mark[n].T for n in ORDERS) / len(ORDERS)).astype(np.float64))
     inverse_root = (vector / np.sqrt(np.maximum(value, 1e-6))) @ vector.T
-    phi = gram @ inverse_root
     target = np.where(np.array(labels)[:, None] == np.array(names)[None, :], 1.0, -1.0)
-    share = np.sqrt(1 / np.maximum((target > 0).mean(axis=0), 1e-9))
-    w = np.linalg.solve(phi.T @ phi + RIDGE * len(labels) * np.eye(len(marks)), phi.T @ (target * np.minimum(share, 1)))
-    fold = (inverse_root @ w) / len(ORDERS)
-    return {"names": names, "matrix": {n: (x[n][marks].T @ fold).astype(np.float32) for n in ORDERS}}
+    target = target * np.minimum(np.sqrt(1 / np.maximum((target > 0).mean(axis=0), 1e-9)), 1)
+    left, right = RIDGE * len(labels) * np.eye(len(marks)), np.zeros((len(marks), len(names)))
+    for a, b, x in _batches(texts):
+        phi = (sum(x[n] @ mark[n].T for n in ORDERS) / len(ORDERS)).astype(np.float64) @ inverse_root
+        left += phi.T @ phi
+        right += phi.T @ target[a:b]
+    fold = (inverse_root @ np.linalg.solve(left, right)) / len(ORDERS)
+    return {"names": names, "matrix": {n: (mark[n].T @ fold).astype(np.float32) for n in ORDERS}}
 
 
 def predict(model: dict | None, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -93,14 +101,14 @@ def predict(model: dict | None, raw: np.ndarray, offsets: np.ndarray) -> tuple[n
 
 
 def training_sample(docs: DataFrame, learnable: Column, id_col: str, text_col: str, label_col: str) -> tuple[list[str], list[str]]:
-    """At most SAMPLE rows of each of LANGUAGES languages, by the hash of their ids; the rows come last, by their ids."""
-    key = F.xxhash64(id_col)
-    rows = docs.where(learnable & F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(label_col).alias("lang"), key.alias("key"))
-    first = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("key"))).where(F.col("rank") <= SAMPLE)
-    keys = first.orderBy("rank", "lang").limit(SAMPLE * LANGUAGES).select("key").distinct()
-    found = docs.where(learnable & F.col(label_col).isNotNull()).select(key.alias("key"), F.col(label_col).alias("lang"), F.col(text_col).cast("string").alias("text"))
-    got = found.join(F.broadcast(keys), "key").orderBy("key", "lang").limit(2 * SAMPLE * LANGUAGES).toPandas()
-    return got["text"].fillna("").tolist(), got["lang"].tolist()
+    """At most SAMPLE rows of each language and ROWS in all, by the hash of their ids and texts; rows that repeat both
+    count once. Only keys are ranked; the texts of those chosen come last."""
+    text = F.col(text_col).cast("string")
+    rows = docs.where(learnable & F.col(label_col).isNotNull() & text.isNotNull()).select(F.col(label_col).alias("lang"), F.xxhash64(F.col(id_col), text).alias("key"), text.alias("text"))
+    ranked = rows.select("lang", "key").withColumn("rank", F.dense_rank().over(Window.partitionBy("lang").orderBy("key"))).where(F.col("rank") <= SAMPLE)
+    chosen = ranked.distinct().orderBy("rank", "lang").limit(ROWS).select("lang", "key")
+    got = rows.join(F.broadcast(chosen), ["lang", "key"]).groupBy("key", "lang").agg(F.first("text").alias("text")).orderBy("key", "lang").toPandas()
+    return got["text"].tolist(), got["lang"].tolist()
 
 
 def identify(docs: DataFrame, learnable: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
@@ -125,7 +133,7 @@ def identify(docs: DataFrame, learnable: Column, id_col: str = "doc_id", text_co
                 langs, scores = ["und"] * len(texts), np.zeros(len(texts))
                 if own:
                     best, scores = predict(own, *arrow_bytes(batch.column("text")))
-                    lettered = np.array([t is not None and LETTER.search(t) is not None for t in texts], bool)
+                    lettered = np.array([t is not None and any(map(str.isalpha, t)) for t in texts], bool)
                     langs = [own["names"][b] if ok else "und" for b, ok in zip(best, lettered, strict=True)]
                     scores = np.where(lettered, scores, 0.0)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])

@@ -38,7 +38,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_duplicates
 
-    return exact_duplicates(_table(spark, sf_dir, "documents")).drop("bucket")
+    return exact_duplicates(_table(spark, sf_dir, "documents")).drop("bucket", "chain")
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,8 +76,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import identify
 
     docs = _table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
-    out = identify(docs, ~held_out)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    out = identify(docs, ~held_out & F.col("doc_id").isNotNull())
     return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
