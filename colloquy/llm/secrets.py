@@ -73,12 +73,14 @@ def update_ledger(docs: DataFrame, ledger: str, text_col: str = "text", version:
     blobs = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).distinct()
     blobs = blobs.select(F.sha2("text", 256).alias("blob"), "text")
     schema = f"blob string, {FOUND}, rule_version string"
-    if _exists(spark, ledger):
-        seen = spark.read.schema(schema).parquet(ledger).where(F.col("rule_version") == version).select("blob")
-        blobs = blobs.join(seen, "blob", "left_anti")
+    known = lambda: spark.read.schema(schema).parquet(ledger).where(F.col("rule_version") == version)
+    kept = _exists(spark, ledger)
+    if kept:
+        blobs = blobs.join(known().select("blob"), "blob", "left_anti")
     found = blobs.mapInArrow(_scan, f"blob string, {FOUND}").withColumn("rule_version", F.lit(version))
     found.write.mode("append").parquet(ledger)
-    return spark.read.schema(schema).parquet(ledger).where(F.col("rule_version") == version).drop("rule_version")
+    rows = known().drop("rule_version")
+    return rows.dropDuplicates(["blob"]) if kept else rows  # concurrent or repeated runs may have added a blob twice
 
 
 def _exists(spark, path: str) -> bool:
@@ -93,17 +95,21 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ledger
     """
     ledger = ledger or shared_path(docs.sparkSession, "ledger")
     known = update_ledger(docs, ledger, text_col)
-    return _addressed(docs, id_col, text_col).join(known, "blob").drop("blob")
+    found = _addressed(docs, id_col, text_col).join(known, "blob", "left")
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_assign", "n_access", "n_hex")]
+    return found.select("doc_id", *counts, F.coalesce("base_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"))
 
 
 def redact(docs: DataFrame, text_col: str = "text", mask: str = "[secret]", ledger: str | None = None) -> DataFrame:
     """docs with every finding replaced by the mask; rows without findings pass unchanged."""
     spark = docs.sparkSession
     checkpoint_dir(spark)
-    known = update_ledger(docs, ledger or shared_path(spark, "ledger"), text_col).where("spans <> ''").select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
+    known = update_ledger(docs, ledger or shared_path(spark, "ledger"), text_col).where("spans <> ''").select(F.col("blob").alias("__secret_blob"), F.col("spans").alias("__secret_spans"))
     if known.count() <= BROADCAST_FINDINGS:
         known = F.broadcast(known)
-    rows = docs.withColumn("__blob", F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)).join(known, "__blob", "left")
+    if {"__secret_blob", "__secret_spans"} & set(docs.columns):
+        raise ValueError("the columns __secret_blob and __secret_spans are reserved")
+    rows = docs.withColumn("__secret_blob", F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)).join(known, "__secret_blob", "left")
 
     @F.pandas_udf("string")
     def masked(text, spans):
@@ -117,6 +123,7 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = "[secret]", ledg
 
         return text.combine(spans, one)
 
-    clean = rows.where("__spans IS NULL").drop("__blob", "__spans")
-    dirty = rows.where("__spans IS NOT NULL").withColumn(text_col, masked(F.col(text_col).cast("string"), "__spans"))
-    return clean.unionByName(dirty.select(docs.columns)).select(docs.columns)
+    clean = rows.where("__secret_spans IS NULL").drop("__secret_blob", "__secret_spans")
+    dirty = rows.where("__secret_spans IS NOT NULL").withColumn(text_col, masked(F.col(text_col).cast("string"), "__secret_spans"))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    return clean.select(*own).unionByName(dirty.select(*own))
