@@ -1,8 +1,13 @@
 """Line dedup by a log-template tree. DataFrame operations only.
 
-A line is parsed at fixed depth: by its token count, then by its leading tokens, then by its template, in which tokens
-that hold a digit are variable fields. The path through the tree is told by its hash, so only (row, place, hash) leaves
-a document; a path that occurs in enough different documents is recurring, and its lines are dropped everywhere.
+A line is parsed at fixed depth: by its token count, then by its leading tokens, which tell its leaf, with tokens that
+hold a digit as fields. Within a leaf a token is constant where enough documents of the leaf have it at its place, and a
+field otherwise, so the lines of a leaf fall under templates: "session opened for user <*> by root". A line whose fields
+outnumber its constants, or that has no constant beyond the leading tokens, is its own template. Templates that recur
+across documents are dropped.
+
+Tokens leave the documents only for lines of leaves that are worth it, and once for each different line: leaves are
+counted first, and those that recur without all their lines recurring are found by a bounded table of slots.
 
 Defined results: null or empty text has no lines with tokens and stays as it is (null becomes empty); blank lines are
 never dropped; rows that repeat an id and text count as one document and get the same result; other columns are ignored;
@@ -14,34 +19,83 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import texts
+from .shared import Scratch, texts
 
-#: Documents in which a template must occur to be dropped, and leading tokens that are levels of the tree.
-LEAST_DOCS, LEADING = 5, 2
+#: Documents in which a template must occur to be dropped, and a token to be constant; leading tokens that are levels of
+#: the tree; a constant's least share of its leaf, in parts of 100.
+LEAST_DOCS, LEADING, SHARE = 5, 2, 1
 FIELD = "[^\\x20\\x09-\\x0D]*[0-9][^\\x20\\x09-\\x0D]*"
+#: Slots of the table that goes to all executors: at most so many long values, about 32 MB.
+SLOTS = 1 << 20
 
 
-def tree_paths(text: Column) -> Column:
-    """For each line of the text the hash of its path, null for a blank line."""
+def tree_paths(text: Column, tokens: bool = False) -> Column:
+    """For each line of the text its path (the hash of the masked line) and leaf, null for a blank line; with the hashes of
+    its tokens if asked for."""
     masked = F.when(text.rlike("[0-9]"), F.regexp_replace(text, FIELD, "<*>")).otherwise(text)
 
-    def path(line):
-        tokens = F.filter(F.split(line, "[\\x20\\x09\\x0B-\\x0D]+"), lambda t: t != "")
-        return F.transform(
-            F.array(tokens), lambda t: F.when(F.size(t) > 0, F.xxhash64(F.size(t), F.concat_ws(" ", F.slice(t, 1, LEADING)), F.concat_ws(" ", t)))
-        )[0]
+    def parsed(t):
+        path = F.xxhash64(F.concat_ws(" ", t))
+        leaf = F.xxhash64(F.size(t), F.concat_ws(" ", F.slice(t, 1, LEADING)))
+        more = [F.transform(t, lambda x: F.when(x == "<*>", F.lit(0).cast("long")).otherwise(F.xxhash64(x))).alias("tokens")] if tokens else []
+        return F.when(F.size(t) > 0, F.struct(path.alias("path"), leaf.alias("leaf"), *more))
 
-    return F.transform(F.split(masked, "\n"), path)
+    def line(one):
+        return F.transform(F.array(F.filter(F.split(one, "[\\x20\\x09\\x0B-\\x0D]+"), lambda t: t != "")), parsed)[0]
 
+    return F.transform(F.split(masked, "\n"), line)
 
-def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_docs: int = LEAST_DOCS) -> DataFrame:
-    """(doc_id, body, drop array<int>): rows once each, with the places (from 0) of the lines to drop."""
+
+def _bodies(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = texts(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("body"))
-    rows = rows.withColumn("row", F.xxhash64("doc_id", "body"))
-    lines = rows.select("row", F.posexplode(tree_paths(F.col("body"))).alias("place", "path")).where("path IS NOT NULL")
-    seen = lines.groupBy("path", "row").agg(F.collect_set("place").alias("places"))
-    often = seen.groupBy("path").agg(F.count("*").alias("n")).where(F.col("n") >= least_docs).select("path")
-    drop = seen.join(often, "path").groupBy("row").agg(F.array_sort(F.flatten(F.collect_list("places"))).alias("drop"))
+    return rows.withColumn("row", F.xxhash64("doc_id", "body"))
+
+
+def templates(rows: DataFrame, seen: DataFrame, scratch: Scratch, least_docs: int = LEAST_DOCS) -> DataFrame:
+    """(path, template) of the lines that fall under a template with fields of words; ``seen`` has (path, leaf, row)."""
+    paths = scratch.written(seen.groupBy("path", "leaf").agg(F.count("*").alias("n")), "paths")
+    leaves = paths.groupBy("leaf").agg(F.sum("n").alias("support"), F.count("*").alias("kinds"), F.min("n").alias("least"))
+    leaves = leaves.where((F.col("support") >= least_docs) & (F.col("kinds") > 1) & (F.col("least") < least_docs)).select("leaf", "support")
+    some = scratch.written(paths.join(leaves, "leaf"), "leaves")
+    scratch.drop(paths)
+    slot = F.pmod("path", F.lit(SLOTS)).alias("slot")
+    lines = rows.select(F.explode(tree_paths(F.col("body"), tokens=True)).alias("line")).where("line IS NOT NULL").select("line.path", "line.tokens")
+    lines = lines.withColumn("slot", F.pmod("path", F.lit(SLOTS))).join(F.broadcast(some.select(slot).distinct()), "slot", "left_semi")
+    kinds = lines.groupBy("path").agg(F.first("tokens").alias("tokens")).join(some, "path")
+    kinds = scratch.written(kinds, "kinds")
+    scratch.drop(some)
+    # A token at a place of a leaf; 0 stands for a field of digits.
+    placed = F.transform("tokens", lambda t, i: F.when(t != 0, F.xxhash64(i, t)).otherwise(F.lit(0).cast("long")))
+    kinds = kinds.withColumn("placed", placed)
+    counts = kinds.select("leaf", "support", "n", F.explode("placed").alias("token")).groupBy("leaf", "token").agg(F.sum("n").alias("c"), F.max("support").alias("support"))
+    constant = counts.where((F.col("c") >= least_docs) & (100 * F.col("c") >= SHARE * F.col("support")))
+    # At most 100 / SHARE constants a place, so the array is bounded by the length of its lines.
+    model = constant.groupBy("leaf").agg(F.collect_list("token").alias("constants"))
+    rows = kinds.join(model, "leaf").withColumn("own", F.array_intersect("placed", "constants"))
+    rows = rows.withColumn("form", F.transform("placed", lambda t: F.when((t == 0) | F.array_contains("own", t), t).otherwise(F.lit(1).cast("long"))))
+    fields = F.size(F.filter("form", lambda t: t == 1))
+    beyond = F.size(F.filter("form", lambda t, i: (i >= LEADING) & (t != 0) & (t != 1)))
+    kept = rows.where((fields > 0) & (2 * fields <= F.size("form")) & (beyond > 0))
+    # Whole lines of a template's leaf that have all its constants and no field stay apart: they recur by themselves.
+    found = kept.select("path", F.xxhash64("leaf", "form").alias("template"))
+    out = scratch.written(found, "templates")
+    scratch.drop(kinds)
+    return out
+
+
+def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_docs: int = LEAST_DOCS) -> DataFrame:
+    """(doc_id, body, drop array<int>): rows once each, with the places (from 0) of the lines to drop, in order."""
+    scratch = Scratch(docs.sparkSession)
+    rows = _bodies(docs, id_col, text_col)
+    lines = rows.select("row", F.posexplode(tree_paths(F.col("body"))).alias("place", "line")).where("line IS NOT NULL")
+    seen = scratch.written(lines.groupBy("line.path", "line.leaf", "row").agg(F.collect_set("place").alias("places")), "lines")
+    found = templates(rows, seen, scratch, least_docs)
+    named = seen.join(found, "path", "left").select("row", "places", F.coalesce("template", "path").alias("template"))
+    each = scratch.written(named.groupBy("template", "row").agg(F.flatten(F.collect_list("places")).alias("places")), "named")
+    often = each.groupBy("template").agg(F.count("*").alias("n")).where(F.col("n") >= least_docs).select("template")
+    drop = scratch.written(each.join(often, "template").groupBy("row").agg(F.array_sort(F.flatten(F.collect_list("places"))).alias("drop")), "drop")
+    scratch.drop(seen, found, each)
+    scratch.release()
     return rows.join(drop, "row", "left").drop("row")
 
 
@@ -49,8 +103,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(doc_id, text, n_lines, n_dropped) without the recurring lines."""
     found = recurring_lines(docs, id_col, text_col, least_docs)
     lines = F.split("body", "\n")
-    left = F.filter(lines, lambda _, i: ~F.array_contains("drop", i))
+    # The lines that stay, in time linear in their number: by the places left over.
+    places = F.array_except(F.sequence(F.lit(1), F.size(lines)), F.transform("drop", lambda i: i + 1))
+    left = F.transform(F.array(F.struct(lines.alias("all"), places.alias("left"))), lambda x: F.transform(x["left"], lambda i: F.element_at(x["all"], i)))[0]
     text = F.when(F.col("drop").isNull(), F.col("body")).otherwise(F.concat_ws("\n", left))
-    return found.select("doc_id", text.alias("text"), F.size(lines).cast("bigint").alias("n_lines"), F.coalesce(F.size("drop"), F.lit(0)).cast("bigint").alias("n_dropped")).withColumn(
-        "n_dropped", F.greatest("n_dropped", F.lit(0)).cast("bigint")
-    )
+    n = F.coalesce(F.size("drop"), F.lit(0))
+    return found.select("doc_id", text.alias("text"), F.size(lines).cast("bigint").alias("n_lines"), F.greatest(n, F.lit(0)).cast("bigint").alias("n_dropped"))

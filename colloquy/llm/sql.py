@@ -47,10 +47,20 @@ FROM v JOIN x USING (doc_id)
 
 LINE_DEDUP = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
-l AS (SELECT doc_id, body, generate_subscripts(lines, 1) AS i, unnest(lines) AS line FROM (SELECT *, string_split(body, chr(10)) AS lines FROM d)),
-t AS (SELECT *, array_to_string(list_filter(regexp_split_to_array(regexp_replace(line, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), '[\x20\x09-\x0D]+'), lambda x: x <> ''), ' ') AS path FROM l),
-o AS (SELECT path FROM t WHERE path <> '' GROUP BY path HAVING count(DISTINCT doc_id) >= 5)
-SELECT doc_id, count(*) AS n_lines, count(o.path) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (o.path IS NULL), '')) AS text_sha256
-FROM t LEFT JOIN o USING (path) GROUP BY doc_id
+l AS (SELECT doc_id, generate_subscripts(lines, 1) AS i, unnest(lines) AS line FROM (SELECT *, string_split(body, chr(10)) AS lines FROM d)),
+t AS (SELECT *, list_filter(regexp_split_to_array(regexp_replace(line, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS tokens FROM l),
+p AS (SELECT *, array_to_string(tokens, ' ') AS path FROM t),
+k AS (SELECT path, tokens, [len(tokens)::VARCHAR, tokens[1], coalesce(tokens[2], '')] AS leaf, count(DISTINCT doc_id) AS n FROM p WHERE path <> '' GROUP BY ALL),
+s AS (SELECT leaf, sum(n) AS support FROM k GROUP BY 1),
+u AS (SELECT path, leaf, n, generate_subscripts(tokens, 1) AS place, unnest(tokens) AS token FROM k),
+c AS (SELECT leaf, place, token FROM u JOIN s USING (leaf) GROUP BY leaf, place, token, support HAVING sum(n) >= 5 AND 100 * sum(n) >= support),
+f AS (SELECT u.path, array_to_string(list(CASE WHEN u.token = '<*>' OR c.token IS NOT NULL THEN u.token ELSE '<word>' END ORDER BY u.place), ' ') AS template,
+             count(*) AS m, count(*) FILTER (u.token <> '<*>' AND c.token IS NULL) AS fields,
+             count(*) FILTER (u.place > 2 AND u.token <> '<*>' AND c.token IS NOT NULL) AS beyond
+      FROM u LEFT JOIN c ON c.leaf = u.leaf AND c.place = u.place AND c.token = u.token GROUP BY 1),
+n AS (SELECT path, CASE WHEN fields > 0 AND 2 * fields <= m AND beyond > 0 THEN template ELSE path END AS template FROM f),
+o AS (SELECT n.template FROM p JOIN n USING (path) GROUP BY 1 HAVING count(DISTINCT p.doc_id) >= 5)
+SELECT p.doc_id, count(*) AS n_lines, count(o.template) AS n_dropped,
+       sha256(coalesce(string_agg(p.line, chr(10) ORDER BY p.i) FILTER (o.template IS NULL), '')) AS text_sha256
+FROM p LEFT JOIN n USING (path) LEFT JOIN o ON o.template = n.template GROUP BY p.doc_id
 """
