@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .shared import Roller, arrow_bytes, mix
 
 #: Bits of the hashed space, labelled rows at most, documents in which a slot must occur, passes, step and shrinkage.
-BITS, SAMPLE, LEAST_DF, PASSES, STEP, SHRINK = 20, 6_000, 4, 12, 0.15, 1e-5
+BITS, SAMPLE, LEAST_DF, PASSES, STEP, SHRINK = 20, 12_000, 4, 12, 0.15, 1e-5
 GRADES = 3
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -61,21 +61,29 @@ def features(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return pair >> BITS, pair & ((1 << BITS) - 1), dense
 
 
-def fit(texts: list[str], grades: np.ndarray) -> dict | None:
+def featured(batches: Iterator) -> Iterator:
+    """Slots and shares of each text, a few texts at a time; the driver gets these instead of texts."""
+    import pyarrow as pa
+
+    for whole in batches:
+        for at in range(0, len(whole), 100):
+            batch = whole.slice(at, 100)
+            row, slot, dense = features(*arrow_bytes(batch.column("text")))
+            first = np.searchsorted(row, np.arange(len(batch) + 1)).astype(np.int32)
+            slots = pa.ListArray.from_arrays(pa.array(first), pa.array(slot.astype(np.int32)))
+            shares = pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1, dtype=np.int32) * len(SHARES)), pa.array(dense.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("grade"), batch.column("k1"), batch.column("k2"), slots, shares], ["grade", "k1", "k2", "slots", "shares"])
+
+
+def fit(slots: list[np.ndarray], dense: np.ndarray, grades: np.ndarray) -> dict | None:
     """Weights, dense weights and ordered thresholds, by stochastic gradient steps scaled by past gradients."""
     if len(set(grades.tolist())) < 2:
         return None
-    parts = []
-    for at in range(0, len(texts), 100):  # a few texts at a time bound the driver's memory
-        data = [t.encode("utf-8", "replace") for t in texts[at : at + 100]]
-        offsets = np.concatenate([[0], np.cumsum([len(d) for d in data])]).astype(np.int64)
-        r, s, d = features(np.frombuffer(b"".join(data), np.uint8), offsets)
-        parts.append((r + at, s.astype(np.int32), d))
-    row, slot, dense = (np.concatenate(x) for x in zip(*parts, strict=True))
+    row, slot = np.repeat(np.arange(len(slots)), [len(x) for x in slots]), np.concatenate(slots)
     df = np.bincount(slot, minlength=1 << BITS)
     often = df[slot] >= LEAST_DF
     row, slot = row[often], slot[often]
-    first = np.searchsorted(row, np.arange(len(texts) + 1))
+    first = np.searchsorted(row, np.arange(len(slots) + 1))
     w, g2 = np.zeros(1 << BITS), np.full(1 << BITS, 1e-3)
     v, v2 = np.zeros(dense.shape[1]), np.full(dense.shape[1], 1e-3)
     share = np.clip(np.cumsum(np.bincount(grades, minlength=GRADES))[:-1] / len(grades), 0.01, 0.99)
@@ -83,7 +91,7 @@ def fit(texts: list[str], grades: np.ndarray) -> dict | None:
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     rng = np.random.default_rng(20_240_601)
     for _ in range(PASSES):
-        order = rng.permutation(len(texts))
+        order = rng.permutation(len(slots))
         for at in range(0, len(order), 64):
             some = order[at : at + 64]
             take = np.concatenate([np.arange(first[i], first[i + 1]) for i in some])
@@ -129,8 +137,13 @@ def classify(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_co
     spark = docs.sparkSession
     chosen = grades.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    got = rows.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(sample).toPandas()
-    model = spark.sparkContext.broadcast(fit(got["text"].fillna("").tolist(), got["grade"].to_numpy(np.int64)) if len(got) else None)
+    keyed = rows.join(F.broadcast(chosen), "doc_id").select(F.col("grade").cast("long"), "text", F.xxhash64("doc_id").alias("k1"), F.xxhash64("text").alias("k2"))
+    got = keyed.mapInArrow(featured, "grade long, k1 long, k2 long, slots array<int>, shares array<double>").orderBy("k1", "k2").limit(sample).toArrow()
+    model = None
+    if len(got):
+        slots = [x.values.to_numpy() for x in got.column("slots")]
+        model = fit(slots, np.array(got.column("shares").to_pylist()), got.column("grade").to_numpy())
+    model = spark.sparkContext.broadcast(model)
     del got
 
     def run(batches: Iterator) -> Iterator:
