@@ -16,6 +16,7 @@ gives an empty result.
 from __future__ import annotations
 
 import base64
+import contextlib
 import gc
 import hashlib
 import re
@@ -389,12 +390,24 @@ class BpeCodec:
 _CODECS: dict[tuple[str, str], BpeCodec] = {}
 
 
+@contextlib.contextmanager
+def no_collector():
+    """The memos hold many tuples and no cycles, and walking them again and again costs a tenth of the time. A worker
+    process serves other tasks too, so the collector is off within one of ours only."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def codec(ranks_path: str, pattern: str) -> BpeCodec:
     """One codec for each Python worker process."""
     found = _CODECS.get((ranks_path, pattern))
     if found is None:
         _CODECS.clear()
-        gc.disable()  # the memos hold many tuples and no cycles; walking them again and again costs a tenth of the time
         found = _CODECS[ranks_path, pattern] = BpeCodec(ranks_path, pattern)
     return found
 
@@ -407,7 +420,8 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
 
         own = codec(ranks_path, pattern)
         for batch in batches:
-            ids = [own.encode(t or "") for t in batch.column("text").to_pylist()]
+            with no_collector():
+                ids = [own.encode(t or "") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     source = texts(docs, id_col, text_col)
@@ -437,7 +451,8 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
 
         own = codec(ranks_path, pattern)
         for batch in batches:
-            found = [own.digest(t) for t in batch.column("text").to_pylist()]
+            with no_collector():
+                found = [own.digest(t) for t in batch.column("text").to_pylist()]
             n, ids, back = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())],
