@@ -45,7 +45,7 @@ def measured(docs: DataFrame, text_col: str = "text", prefix: str = "") -> DataF
     out = out.withColumn(p("lines"), F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")))
     words, grams = F.col(p("words")), F.col(p("grams"))
     n = F.size(words)
-    # A gram is told by its hash and a second one: equal pairs of 64-bit values stand for equal words.
+    # A gram is told by one 64-bit hash, of the hash of its first two words and the third.
     out = out.withColumn(
         p("grams"),
         F.when(

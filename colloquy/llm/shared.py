@@ -18,12 +18,14 @@ _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a folder of our own only where none is named (tests)."""
+    """The shared folder that the cluster names; a folder of our own only where none is named and the master is local."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         current = spark.sparkContext.getCheckpointDir()
         if current:
             return current
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="colloquy-checkpoint-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(named)

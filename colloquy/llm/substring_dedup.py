@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 from .shared import Roller, arrow_bytes, texts, word_hashes, word_spans, written
 
 WINDOW, GRAM = 35, 12
-#: Keys up to this number (12 bytes each) are sent to all executors when windows are opened; more are joined by a shuffle.
-BROADCAST_KEYS = 2_000_000
+#: Keys up to this number (about 100 bytes each in a hash relation) are sent to all executors when windows are opened; with
+#: more the texts are joined by a shuffle alone.
+BROADCAST_KEYS = 250_000
 
 _ANCHOR = Roller(0x8F14E45FCEEA167B)
 _CONTENT = Roller(0xC9F0F895FB98AB91)

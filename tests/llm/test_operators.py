@@ -8,7 +8,8 @@ import duckdb
 import numpy as np
 import pytest
 
-from colloquy.llm import bpe, classifier, components, exact_dedup, langid, line_dedup, ngram_join, packing, quality, queries, secrets, substring_dedup
+from colloquy.llm import bpe, classifier, components, exact_dedup, langid, line_dedup, ngram_join, packing, quality, queries, secrets, shared, substring_dedup
+from pyspark.sql import functions as F
 
 tiktoken = pytest.importorskip("tiktoken")
 P = pytest.importorskip("public_tokenizers")
@@ -243,6 +244,9 @@ def test_pipeline_stages(spark):
 
 def test_packing_ids_are_those_of_the_library():
     """Random texts with runs of white space, special tokens and characters beyond the settled ones."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     own = packing.sentence_tokenizer(P.path("byte_bpe_50k.json"))
     assert own.plain is not None
     rng = random.Random(11)
@@ -251,7 +255,7 @@ def test_packing_ids_are_those_of_the_library():
     for source in (parts, letters):
         for _ in range(1500):
             text = "".join(rng.choice(source) for _ in range(rng.randrange(60)))
-            assert own(text)[0].tolist() == own.library.encode(text, add_special_tokens=False).ids
+            assert own(text)[0].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
 def test_exact_duplicates_that_stay(spark):
@@ -292,3 +296,224 @@ def test_one_row_of_each_component_stays(spark):
     assert left.columns == df.columns
     got = Counter((r.doc_id, (r.text or "-")[0]) for r in left.collect())
     assert got == Counter([(4, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e"), (5, "f"), (6, "-"), (6, "-")])
+
+
+def test_fields_of_words_are_generalised(spark):
+    people = "alice bob carol dave erin frank grace heidi".split()
+    rows = [(i, f"session opened for user {p} by root\nonly here {p} {p}x {p}y {p}z {p}w") for i, p in enumerate(people)]
+    rows += [(20, "session opened for user mallory by root\nsession closed at once for all of them"), (20, None), (21, "")]
+    got = {(r.doc_id, r.text) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(i, f"only here {p} {p}x {p}y {p}z {p}w") for i, p in enumerate(people)} | {(20, "session closed at once for all of them"), (20, ""), (21, "")}
+    few = spark.createDataFrame(rows[:4] + rows[:1], "doc_id long, text string")  # four documents, one of them twice
+    assert all(r.n_dropped == 0 for r in line_dedup.dedup_lines(few).collect())
+
+
+def test_long_texts_of_dropped_lines_take_linear_time(spark):
+    text = "\n".join(f"entry {i} of the list" for i in range(40_000))
+    df = spark.createDataFrame([(i, text) for i in range(5)], "doc_id long, text string")
+    assert [tuple(r) for r in line_dedup.dedup_lines(df).select("text", "n_lines", "n_dropped").distinct().collect()] == [("", 40_000, 40_000)]
+
+
+def plain_groups(rows):
+    norm = lambda t: re.sub(r"[\x20\x09-\x0d]+", " ", t or "")
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[norm(t)].append(i)
+    least = {t: min((i for i in g if i is not None), default=None) for t, g in groups.items()}
+    return Counter((i, least[norm(t)], len(groups[norm(t)]), i == least[norm(t)], sha(norm(t))) for i, t in rows)
+
+
+@pytest.mark.parametrize("heavy", [1, 10_000])
+@pytest.mark.parametrize("clash", [False, True])
+def test_exact_duplicates_with_clashing_keys(spark, monkeypatch, heavy, clash):
+    """Chains of a forced clash of keys, through owners and as heavy keys."""
+    monkeypatch.setattr(exact_dedup, "HEAVY", heavy)
+    key_of = (lambda body: F.length(body).cast("long") % 3 * (1 << 61)) if clash else F.xxhash64
+    rng = random.Random(heavy)
+    rows = [(rng.choice([None, *range(60)]), rng.choice([None, "", " ", "\t\n", "a", "a b", "a  b", "a\tb", "b a", "ab", "x" * 5000])) for _ in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = exact_dedup.exact_duplicates(df, key_of=key_of, page_entries=2).select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()
+    assert Counter(map(tuple, got)) == plain_groups(rows)
+    left = exact_dedup.drop_exact_duplicates(df.withColumns({"__dedup_key": F.lit(1), "key": F.lit("k"), "bucket": F.lit(2)}), key_of=key_of, page_entries=2)
+    assert left.columns == ["doc_id", "text", "__dedup_key", "key", "bucket"]
+    assert Counter((r.doc_id, re.sub(r"\s+", " ", r.text or "")) for r in left.collect()) == Counter({(k, t): 1 for t in {re.sub(r"\s+", " ", t or "") for _, t in rows} for k in [min((i for i, u in rows if i is not None and re.sub(r"\s+", " ", u or "") == t), default=None)]})
+
+
+def test_directory_splits_only_what_is_overfull(spark):
+    keys = spark.createDataFrame([(k << 45,) for k in range(100)] + [(-(1 << 62),)], "key long")
+    got = Counter(r.bucket for r in exact_dedup.directory(keys, 10).collect())
+    assert got["1:1"] == 1  # the half with one key is one bucket
+    assert max(Counter(r.bucket for r in exact_dedup.directory(keys, 10).join(keys.withColumn("slot", exact_dedup.slot_of(F.col("key"))), "slot").collect()).values()) <= 10
+    assert {r.bucket for r in exact_dedup.directory(keys, 1000).collect()} == {"0:0"}
+
+
+def test_a_ledger_with_a_blob_twice(spark, tmp_path):
+    df = spark.createDataFrame([(1, "token=abcdefghijklmnop"), (2, "clean"), (None, None), (3, "")], "doc_id long, text string")
+    path = str(tmp_path / "ledger")
+    first = secrets.update_ledger(df, path)
+    assert first.count() == 3
+    spark.read.parquet(path).write.mode("append").parquet(str(tmp_path / "copy"))
+    spark.read.parquet(str(tmp_path / "copy")).write.mode("append").parquet(path)  # as a repeated or concurrent run does
+    rows = Counter((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256, r.spans) for r in secrets.scan(df, ledger=path).collect())
+    none = (0, 0, 0, sha(""), "")
+    assert rows == Counter([(1, 1, 0, 0, sha("assign:0:22"), "assign:0:22"), (2, *none), (None, *none), (3, *none)])
+    assert secrets.redact(df, ledger=path).count() == 4
+
+
+def test_op3_columns_against_plain_patterns(spark, docs):
+    rule = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+    want = {}
+    for i, t in docs:
+        found = [(m.start(), 0, f"assign:{m.start()}:{m.end()}") for m in rule.finditer(t) if len(m[2]) >= 12]
+        found += [(m.start(), 1, f"access:{m.start()}:{m.end()}") for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 18]
+        found += [(m.start(), 2, f"hex:{m.start()}:{m.end()}") for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 16]
+        n = Counter(k for _, k, _ in found)
+        want[i] = (n[0], n[1], n[2], sha(",".join(x for _, _, x in sorted(found))), {x for _, _, x in found})
+    for r in queries.op3_secrets(spark, SF).collect():
+        assert (r.n_assign, r.n_access, r.n_hex, r.base_sha256) == want[r.doc_id][:4]
+        assert want[r.doc_id][4] <= set(r.spans.split(",")) | {""}
+
+
+@pytest.mark.parametrize("most", [0, 100_000])
+def test_redaction_on_both_sides_of_the_bound(spark, monkeypatch, most):
+    monkeypatch.setattr(secrets, "BROADCAST_FINDINGS", most)
+    df = spark.createDataFrame([(1, "a token=abcdefghijklmnop b", "x"), (2, None, "y"), (3, "clean", "z")], "doc_id long, text string, spans string")
+    assert sorted(map(tuple, secrets.redact(df).collect())) == [(1, "a [secret] b", "x"), (2, None, "y"), (3, "clean", "z")]
+
+
+@pytest.mark.parametrize("most", [0, 250_000])
+def test_substrings_on_both_sides_of_the_bound(spark, monkeypatch, docs, most):
+    monkeypatch.setattr(substring_dedup, "BROADCAST_KEYS", most)
+    got = substring_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).drop("spans").collect()
+    assert Counter(map(tuple, got)) == brute_repeats(docs)
+
+
+@pytest.mark.parametrize("size,percent", [(4, 85), (5, 80), (2, 50)])
+def test_large_families_about_the_threshold(spark, size, percent):
+    """Near copies of two texts that miss the threshold by little or hold it, with hot keys dealt out."""
+    rng = random.Random(percent)
+    base = [[f"{a}{k}" for k in range(90)] for a in "ab"]
+    rows = []
+    for i in range(260):
+        w = list(base[i % 13 == 0])
+        for _ in range(rng.choice([0, 1, 1, 2, 2, 3, 4, 6])):
+            w[rng.randrange(90)] = rng.choice(["x", "y", f"n{rng.randrange(10)}"])
+        rows.append((i, " ".join(w)))
+    rows += [(900 + i, " ".join(base[0][:45] + base[1][45:] + [f"t{i}"])) for i in range(6)]
+    monkey = ngram_join.HOT
+    ngram_join.HOT = 30
+    try:
+        got = ngram_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string"), size=size, percent=percent).collect()
+    finally:
+        ngram_join.HOT = monkey
+    assert sorted(map(tuple, got)) == brute_components(rows, size, percent)
+
+
+def test_letters_decide_whether_there_is_a_language(spark):
+    rows = [(1, "½ ² ①", None), (2, "Ⅷ 12", None), (3, None, "en"), (4, "", "de"), (None, "the cat and the dog", "en"), (6, "der Hund und die Katze", "de"), (7, "the house is old", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(df, df["text"].isNotNull()).collect()}
+    assert all(got[i] == ("und", 0.0) for i in (1, 2, 3, 4)) and got[6][0] == "de" and got[None][0] == "en"
+
+
+def test_held_out_is_never_null(spark, tmp_path):
+    spark.createDataFrame([(None, "a b", "en"), (1, "c d", "en")], "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.held_out for r in queries.op9_language_id(spark, str(tmp_path)).collect()}
+    assert got == {None: False, 1: zlib.crc32(b"1") % 3 == 1}
+
+
+def test_language_scores_against_plain_kernel_ridge():
+    """With every row a landmark the features are exact, so scores are those of kernel ridge regression on the kernel."""
+    texts = ["the cat sat on the mat", "a dog and the cat", "der Hund und die Katze", "die Katze sitzt da", "le chat est la", "un chien et le chat"]
+    labels = ["en", "en", "de", "de", "fr", "fr"]
+
+    def grams(t):
+        symbol = [int(langid._CLASS[b]) for b in t.encode()]
+        out = []
+        for n, bits in langid.ORDERS.items():
+            slots = set()
+            for k in range(len(symbol) - n + 1):
+                code = 0
+                for x in symbol[k : k + n]:
+                    code = (code * 257 + x) % 2**32
+                slots.add(code * 2654435761 % 2**32 >> 32 - bits)
+            out.append(slots)
+        return out
+
+    kernel = lambda x, y: sum(len(a & b) / max(1, len(a) * len(b)) ** 0.5 for a, b in zip(x, y, strict=True)) / len(langid.ORDERS)
+    sets = [grams(t) for t in texts]
+    gram = np.array([[kernel(a, b) for b in sets] for a in sets])
+    names = sorted(set(labels))
+    weight = np.linalg.solve(gram + langid.RIDGE * len(texts) * np.eye(len(texts)), np.array([[1.0 if y == n else -1.0 for n in names] for y in labels]))
+    model = langid.learn(texts, labels)
+    for t in [*texts, "the old dog", "eine Katze", "le mat"]:
+        want = np.array([kernel(grams(t), s) for s in sets]) @ weight
+        found = langid.features_of([t])
+        got = sum(found[n] @ model["matrix"][n] for n in langid.ORDERS)[0]
+        assert np.allclose(got, want, atol=2e-3)
+        best, score = langid.predict(model, np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))
+        assert best[0] == want.argmax() and abs(score[0] - 1 / np.exp(langid.SHARPNESS * (want - want.max())).sum()) < 0.02
+
+
+def test_grades_against_plain_probabilities(spark):
+    """The query's numbers from its own weights, word by word; and the weights fit better than the shares of the grades."""
+    rng = random.Random(4)
+    words = {0: ["hate", "kill"], 1: ["buy", "click", "now"], 2: ["study", "river", "method"]}
+    rows = [(i, " ".join(rng.choice(words[i % 3] + ["the", "a", "of"]) for _ in range(30)), i % 3) for i in range(240)]
+    data = [t.encode() for _, t, _ in rows]
+    slots, dense = [], []
+    for d in data:
+        _, s, x = classifier.features(np.frombuffer(d, np.uint8), np.array([0, len(d)]))
+        slots.append(s)
+        dense.append(x[0])
+    grades = np.array([g for *_, g in rows])
+    model = classifier.fit(slots, np.array(dense), grades)
+    assert list(model["theta"]) == sorted(model["theta"])
+    slot_of = lambda w: int(classifier.features(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)]))[1][0])
+    cum = classifier.score(model, np.frombuffer(b"".join(data), np.uint8), np.concatenate([[0], np.cumsum([len(d) for d in data])]))
+    loss = 0.0
+    for k, (_, t, g) in enumerate(rows):
+        z = sum(float(model["w"][s]) for s in {slot_of(w) for w in t.split()})
+        z += sum((sum(b in chars for b in t.encode()) / len(t)) ** 0.5 * v for chars, v in zip(classifier.SHARES, model["v"], strict=True))
+        plain = [1 / (1 + np.exp(z - th)) for th in model["theta"]]
+        assert np.allclose(cum[k], plain, atol=1e-6)
+        p = [plain[0], plain[1] - plain[0], 1 - plain[1]]
+        loss -= np.log(max(p[g], 1e-12))
+    assert loss / len(rows) < 0.3 * np.log(3)
+    df = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(g == 2), int(g == 0)) for i, _, g in rows], "doc_id long, quality int, toxic int")
+    for r in classifier.classify(df, classifier.graded(labels)).collect():
+        assert abs(r.expected_grade - (1 - r.p_toxic + r.p_good)) < 1e-9 and r.kept == (r.p_good >= 0.5) == (r.doc_id % 3 == 2)
+
+
+def test_bpe_columns_against_the_library(spark, odd):
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.load_ranks(path), special_tokens={})
+    want = Counter((i, len(ids), sha(",".join(map(str, ids))), sha(t or "")) for i, t in ((r.doc_id, r.text) for r in odd.collect()) for ids in [enc.encode_ordinary(t or "")])
+    assert Counter(map(tuple, bpe.round_trip(odd, path, P.PATTERN).collect())) == want
+
+
+def test_pipeline_stages_with_clashing_names(spark):
+    import corpus_pipeline
+
+    names = ["key", "bucket", "chain", "row", "component", "node", "gid", "spans", "blob", "n_words", "k1", "way"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60).withColumns({n: F.lit("x") for n in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, SF).toPandas(), docs.schema)
+        assert docs.select(*names).distinct().count() == 1, name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() >= docs.count()
+
+
+def test_a_checkpoint_folder_is_asked_for_on_a_cluster():
+    class Conf:
+        get = staticmethod(lambda key, other=None: other)
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        conf, sparkContext = Conf, Context
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared.checkpoint_dir(Session)
