@@ -13,8 +13,14 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, f"^{UNICODE_SPACE}+|{UNICODE_SPACE}+$", "")
 
 
+#: Those of them that are rare in texts.
+RARE_SPACE = "[\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+
+
 def collapse_space(text: Column) -> Column:
-    return F.regexp_replace(strip(text), f"{UNICODE_SPACE}+", " ")
+    """Runs of white space as one space, none at the ends; texts with common white space alone need one short pattern."""
+    common = F.regexp_replace(F.translate(text, "\t\n\x0b\x0c\r", "     "), " {2,}", " ")
+    return F.trim(F.when(text.rlike(RARE_SPACE), F.regexp_replace(text, f"{UNICODE_SPACE}+", " ")).otherwise(common))
 
 
 def json_string(text: Column) -> Column:

@@ -32,9 +32,10 @@ def structure(messages: Column) -> Column:
 
 
 def first_of(df: DataFrame, key: str, order: str) -> DataFrame:
-    """The first row of each key. min_by aggregates before the shuffle, so a hot key is no hot task."""
+    """The first row of each key, one without an order last. min_by aggregates before the shuffle, so a hot key is no hot
+    task."""
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    return df.groupBy(key).agg(F.min_by(row, F.col(order)).alias("__r")).select("__r.*")
+    return df.groupBy(key).agg(F.min_by(row, F.struct(F.isnull(order), F.col(order))).alias("__r")).select("__r.*")
 
 
 def split(df: DataFrame, fp_col: str = "fp", salt: str = "v1", eval_fraction: float = 0.1) -> DataFrame:
@@ -68,6 +69,8 @@ def rollup(rows: DataFrame, id_col: str = "conv_id") -> DataFrame:
 def percentiles(df: DataFrame, col: str, fractions: tuple[float, ...]) -> DataFrame:
     """Nearest rank: the value at round-half-even(f * (n - 1)). Ranks come from counts of distinct values, so one row for
     each distinct value is ordered, not one for each row."""
+    if not all(0 <= f <= 1 for f in fractions):
+        raise ValueError("fractions must lie between 0 and 1")
     counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count("*").alias("c"))
     run = counts.select("v", F.sum("c").over(Window.orderBy("v")).alias("upto"), F.sum("c").over(Window.partitionBy()).alias("n"))
     wanted = F.explode(F.array(*[F.lit(float(f)) for f in fractions])).alias("fraction")

@@ -66,3 +66,70 @@ def report(judged: DataFrame, by: str | None = None) -> DataFrame:
 def by_tool(pairs: DataFrame) -> DataFrame:
     out = pairs.groupBy("name").agg(*[F.sum(c).cast("bigint").alias(c) for c in _SUMS])
     return out.select("*", F.try_divide("exact", "expected").alias("exact_recall"), F.try_divide("name_matches", "predicted").alias("name_precision"))
+
+
+_MEASURES = (*_SUMS, "expected_arguments", "matched_arguments")
+
+
+def _rates() -> list:
+    """All derived rates; without a base they are null."""
+    rate = lambda a, b, name: F.try_divide(a, b).alias(name)
+    return [
+        rate("name_matches", "predicted", "name_precision"),
+        rate("name_matches", "expected", "name_recall"),
+        rate("exact", "predicted", "exact_precision"),
+        rate("exact", "expected", "exact_recall"),
+        rate("matched_arguments", "expected_arguments", "argument_accuracy"),
+    ]
+
+
+def measured_pairs(calls: DataFrame) -> DataFrame:
+    """(turn_id, name) with all six measures."""
+    out = paired(calls).join(argument_matches(calls), ["turn_id", "name"], "left")
+    return out.na.fill(0, ["expected_arguments", "matched_arguments"])
+
+
+def judged_records(records: DataFrame, pairs: DataFrame) -> DataFrame:
+    """records (turn_id, branch, malformed, invalid, truncated) with sums of measures and the verdict of each."""
+    sums = pairs.groupBy("turn_id").agg(*[F.sum(c).alias(c) for c in _MEASURES])
+    rows = records.join(sums, "turn_id", "left").na.fill(0, list(_MEASURES))
+    acted = (F.col("predicted") > 0) | (F.col("malformed") > 0)
+    expects = F.col("expected") > 0
+    correct = (F.col("malformed") == 0) & (F.col("expected") == F.col("predicted")) & (F.col("expected") == F.col("exact"))
+    return rows.select("*", expects.alias("expects"), correct.alias("correct"), (acted & ~expects).alias("false_fire"), (~acted & expects).alias("missed"))
+
+
+def full_report(judged: DataFrame) -> DataFrame:
+    """One row: decisions, call measures and all rates."""
+    out = judged.agg(
+        F.count("*").alias("turns"),
+        F.count_if("correct").alias("correct_turns"),
+        F.count_if(F.col("correct") & F.col("expects")).alias("correct_call_turns"),
+        F.count_if("expects").alias("expected_call_turns"),
+        F.count_if("false_fire").alias("false_fires"),
+        F.count_if("missed").alias("missed_calls"),
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(f"{c}_calls") for c in ("malformed", "invalid")],
+        F.count_if("truncated").alias("truncated_turns"),
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in _MEASURES],
+    )
+    out = out.withColumns({"correct_reply_turns": F.col("correct_turns") - F.col("correct_call_turns"), "expected_text_turns": F.col("turns") - F.col("expected_call_turns")})
+    attempted = F.col("predicted") + F.col("malformed_calls")
+    return out.select(
+        "*",
+        F.try_divide("correct_turns", "turns").alias("turn_accuracy"),
+        F.try_divide("false_fires", "expected_text_turns").alias("false_fire_rate"),
+        F.try_divide("missed_calls", "expected_call_turns").alias("missed_call_rate"),
+        F.try_divide(F.col("predicted") - F.col("invalid_calls"), attempted).alias("valid_rate"),
+        *_rates(),
+    )
+
+
+def full_by_tool(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("name").agg(*[F.sum(c).cast("bigint").alias(c) for c in _MEASURES]).select("*", *_rates())
+
+
+def full_by_branch(judged: DataFrame) -> DataFrame:
+    """Turns without an id are in the whole report alone."""
+    counts = [F.count_if(c).alias(n) for c, n in (("correct", "correct_turns"), ("false_fire", "false_fires"), ("missed", "missed_calls"))]
+    out = judged.where(F.col("branch").isNotNull()).groupBy("branch").agg(F.count("*").alias("turns"), *counts)
+    return out.withColumn("turn_accuracy", F.try_divide("correct_turns", "turns"))

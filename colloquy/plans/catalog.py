@@ -6,13 +6,17 @@ integer in ``props`` the argument that is expected, and a rule on event_id gives
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import privacy
 from ..functions.text import branch_of, collapse_space, json_string, split_side
-from ..functions.tool_calls import blocks, reply, unclosed
+from ..functions.tool_calls import blocks, checked, reply, unclosed
 from ..operators import dialogues as D
+from ..operators import records as R
 from ..operators import scoring as S
 
 
@@ -130,9 +134,7 @@ def tool_call_blocks(spark, d):
 
 
 def detectors(spark, d):
-    """The five kinds that the SQL counts; ``privacy.detected`` has object_id and phone too."""
     rows = _t(spark, d, "documents").select(F.explode(privacy.detected(F.col("text"))).alias("kind", "n"))
-    rows = rows.where(~F.col("kind").isin("object_id", "phone"))
     return rows.groupBy("kind").agg(F.sum("n").alias("n"))
 
 
@@ -147,13 +149,100 @@ def verbatim_leakage(spark, d):
     return rows.where("side = 'eval'").join(rows.where("side = 'train'").select("t"), "t", "left_semi").agg(F.count("*").alias("leaked"))
 
 
+def _turn_calls(spark, d):
+    """Several calls a turn: four events each, the first two expected and the others predicted; those with an even k fall out."""
+    e = _t(spark, d, "events").select("event_id", "user_id", "event_type", F.get_json_object("props", "$.k").cast("long").alias("k")).where("k % 2 = 1")
+    a, b = (F.col("k") % 3).cast("string"), (F.col("user_id") % 2).cast("string")
+    arg = lambda k, v: F.struct(F.lit(k).alias("key"), v.alias("eq"))
+    side = F.when(F.col("event_id") % 4 < 2, "expected").otherwise("predicted").alias("side")
+    return e.select(F.floor(F.col("event_id") / 4).alias("turn_id"), side, F.col("event_type").alias("name"), F.concat_ws(",", a, b).alias("eq"), (F.col("event_id") % 4).alias("pos"), F.array(arg("a", a), arg("b", b)).alias("args"))
+
+
+def _turn_judged(spark, d):
+    e = _t(spark, d, "events").select("event_id", F.floor(F.col("event_id") / 4).alias("turn_id"), "event_type")
+    turns = e.groupBy("turn_id").agg(F.min_by("event_type", "event_id").alias("first"))
+    turns = turns.select("turn_id", F.when(F.col("turn_id") % 10 != 0, F.col("first")).alias("branch"))
+    turns = turns.withColumns({"malformed": (F.col("turn_id") % 7 == 0).cast("bigint"), "invalid": (F.col("turn_id") % 5 == 0).cast("bigint"), "truncated": F.col("turn_id") % 11 == 0})
+    return S.judged_records(turns, S.measured_pairs(_turn_calls(spark, d)))
+
+
+def turn_pairs(spark, d):
+    return S.measured_pairs(_turn_calls(spark, d))
+
+
+def turn_report(spark, d):
+    return S.full_report(_turn_judged(spark, d))
+
+
+def turn_report_by_tool(spark, d):
+    return S.full_by_tool(turn_pairs(spark, d))
+
+
+def turn_report_by_branch(spark, d):
+    return S.full_by_branch(_turn_judged(spark, d))
+
+
+def call_census(spark, d):
+    return R.call_census(_t(spark, d, "events"), "event_type")
+
+
+def tool_checks(spark, d):
+    """Events as calls against one declared tool."""
+    schema = {"required": ["k", "v"], "properties": {"k": {"type": "integer", "enum": [1, 2, 3]}, "v": {"type": ["string", "null"]}}}
+    tools = F.array(F.lit(json.dumps({"type": "function", "function": {"name": "click", "parameters": schema}})))
+    v = F.when(F.col("event_id") % 3 == 0, "").when(F.col("event_id") % 3 == 1, ', "v": true').otherwise(', "v": null')
+    more = F.when(F.col("event_id") % 5 == 0, ', "x": 1').otherwise("")
+    args = F.concat(F.lit('{"k": '), F.get_json_object("props", "$.k"), v, more, F.lit("}"))
+    return _t(spark, d, "events").select("event_id", F.array_join(checked(F.col("event_type"), args, tools), "; ").alias("problems"))
+
+
+def _call_less(spark, d):
+    none = F.array().cast("array<struct<name:string,arguments:string,fp:string,eq:string,id:string>>")
+    rows = D.gathered(_t(spark, d, "conversations"))
+    return rows.select("conv_id", F.transform("messages", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"), none.alias("tool_calls"), F.lit(None).cast("string").alias("tool_call_id"))).alias("messages"))
+
+
+def turn_render(spark, d):
+    rows = R.rendered_examples(_call_less(spark, d), "conv_id")
+    return rows.select("conv_id", "turn_index", F.sha2(R.marked(F.col("prompt"), F.col("target")), 256).alias("example"))
+
+
+def train_rows(spark, d):
+    rows = R.labelled(R.rendered_examples(_call_less(spark, d), "conv_id"))
+    n = lambda c: F.size(c).cast("bigint")
+    return rows.select("conv_id", "turn_index", n("input_ids").alias("n_ids"), n("attention_mask").alias("n_mask"), n(F.filter("labels", lambda x: x == R.IGNORED)).alias("n_ignored"))
+
+
+def replay_schedule(spark, d):
+    return R.replay_batches(turn_examples(spark, d), "prompt_tokens", ["conv_id", "turn"], 4).select("conv_id", "turn", "place", "batch")
+
+
+def split_by_source(spark, d):
+    """Documents of each source on either side, sources of one side included."""
+    sides = document_split(spark, d).join(_t(spark, d, "documents").select("doc_id", "source"), "doc_id")
+    return sides.groupBy("source").agg(F.count_if(F.col("side") == "train").alias("train"), F.count_if(F.col("side") == "eval").alias("eval"))
+
+
+def stand_in_formats(spark, d):
+    """Stand-ins of customers' names under several kinds."""
+    kinds = ("name", "phone", "iban", "card_number", "uuid")
+
+    @F.pandas_udf("array<string>")
+    def made(s: pd.Series) -> pd.Series:
+        return pd.Series([[privacy.fake(k, x, "s") for k in kinds] for x in s])
+
+    rows = _t(spark, d, "customer").select("c_custkey", made("c_name").alias("m"))
+    return rows.select("c_custkey", *[F.col("m")[i].alias(k) for i, k in enumerate(kinds)])
+
+
 FLAGSHIP = "score_by_tool"
 QUERIES = {
     f.__name__: f
     for f in (
         structure, fingerprints, conversation_split, document_dedup, document_split, census, chat_records, turn_examples, token_rollup, length_filter,
         longest_dialogues, length_percentiles, length_histogram, length_fits, call_pairs, call_arguments, score_overall, score_by_branch, score_by_tool,
-        wrong_turns, tool_call_blocks, detectors, stand_ins, verbatim_leakage,
+        wrong_turns, tool_call_blocks, detectors, stand_ins, verbatim_leakage, turn_pairs, turn_report, turn_report_by_tool, turn_report_by_branch,
+        call_census, tool_checks, turn_render, train_rows, replay_schedule, split_by_source, stand_in_formats,
     )
 }
 
@@ -182,7 +271,56 @@ _OUT = """SELECT event_id, ' Sure. ' || CASE WHEN event_id % 4 = 0 THEN '' ELSE
  || CASE WHEN event_id % 6 = 0 THEN ' more <tool_call>{cut' ELSE ' end ' END AS raw FROM events"""
 _DOC_FIRST = f"SELECT min(doc_id) AS doc_id, fp FROM ({_FP_DOC}) GROUP BY fp"
 
+_TC = """SELECT event_id // 4 AS turn_id, event_id % 4 AS pos, CASE WHEN event_id % 4 < 2 THEN 'expected' ELSE 'predicted' END AS side, event_type AS name,
+ json_extract_string(props, '$.k')::BIGINT % 3 AS a, user_id % 2 AS b FROM events WHERE json_extract_string(props, '$.k')::BIGINT % 2 = 1"""
+_TP = f"""WITH c AS ({_TC}),
+ r AS (SELECT *, row_number() OVER (PARTITION BY turn_id, side, name, a, b ORDER BY pos) AS rn,
+              least(count(*) FILTER (side = 'expected') OVER (PARTITION BY turn_id, name, a, b), count(*) FILTER (side = 'predicted') OVER (PARTITION BY turn_id, name, a, b)) AS m FROM c),
+ l AS (SELECT *, row_number() OVER (PARTITION BY turn_id, side, name ORDER BY pos) AS ln FROM r WHERE rn > m),
+ x AS (SELECT turn_id, name, 2 AS n, 2 AS s FROM r WHERE side = 'expected' AND rn <= m
+       UNION ALL SELECT e.turn_id, e.name, 2, (e.a = p.a)::INT + (e.b = p.b)::INT FROM l e JOIN l p ON e.turn_id = p.turn_id AND e.name = p.name AND e.ln = p.ln AND e.side = 'expected' AND p.side = 'predicted'),
+ y AS (SELECT turn_id, name, sum(n) AS n, sum(s) AS s FROM x GROUP BY ALL),
+ t AS (SELECT turn_id, name, count(*) FILTER (side = 'expected') AS expected, count(*) FILTER (side = 'predicted') AS predicted, count(*) FILTER (side = 'expected' AND rn <= m) AS exact FROM r GROUP BY ALL)
+ SELECT t.turn_id, t.name, expected, predicted, exact, least(expected, predicted) AS name_matches, coalesce(n, 0)::BIGINT AS expected_arguments, coalesce(s, 0)::BIGINT AS matched_arguments
+ FROM t LEFT JOIN y USING (turn_id, name)"""
+_SIX = ", ".join(f"sum({c})::BIGINT AS {c}" for c in ("expected", "predicted", "exact", "name_matches", "expected_arguments", "matched_arguments"))
+_TJ = f"""SELECT *, malformed = 0 AND expected = predicted AND expected = exact AS correct, (predicted > 0 OR malformed > 0) AND expected = 0 AS false_fire,
+ NOT (predicted > 0 OR malformed > 0) AND expected > 0 AS missed FROM (
+ SELECT turn_id, CASE WHEN turn_id % 10 <> 0 THEN branch END AS branch, (turn_id % 7 = 0)::BIGINT AS malformed, (turn_id % 5 = 0)::BIGINT AS invalid, turn_id % 11 = 0 AS truncated,
+ {", ".join(f"coalesce({c}, 0) AS {c}" for c in ("expected", "predicted", "exact", "name_matches", "expected_arguments", "matched_arguments"))}
+ FROM (SELECT event_id // 4 AS turn_id, arg_min(event_type, event_id) AS branch FROM events GROUP BY 1) LEFT JOIN (SELECT turn_id, {_SIX} FROM ({_TP}) GROUP BY 1) USING (turn_id))"""
+_ALL_RATES = """name_matches::DOUBLE / nullif(predicted, 0) AS name_precision, name_matches::DOUBLE / nullif(expected, 0) AS name_recall, exact::DOUBLE / nullif(predicted, 0) AS exact_precision,
+ exact::DOUBLE / nullif(expected, 0) AS exact_recall, matched_arguments::DOUBLE / nullif(expected_arguments, 0) AS argument_accuracy"""
+_LINES = "SELECT *, '<|' || role || '|>' || text || '<|end|>' || chr(10) AS line FROM conversations"
+_FAKE_N = "('0x' || substr(sha256('s:{0}:' || lower(c_name)), 1, 12))::UBIGINT"
+
 ORACLE_SQL = {
+    "turn_pairs": _TP,
+    "turn_report": f"""SELECT *, correct_turns - correct_call_turns AS correct_reply_turns, turns - expected_call_turns AS expected_text_turns, correct_turns::DOUBLE / nullif(turns, 0) AS turn_accuracy,
+        false_fires::DOUBLE / nullif(turns - expected_call_turns, 0) AS false_fire_rate, missed_calls::DOUBLE / nullif(expected_call_turns, 0) AS missed_call_rate,
+        (predicted - invalid_calls)::DOUBLE / nullif(predicted + malformed_calls, 0) AS valid_rate, {_ALL_RATES} FROM (
+        SELECT count(*) AS turns, count(*) FILTER (correct) AS correct_turns, count(*) FILTER (correct AND expected > 0) AS correct_call_turns, count(*) FILTER (expected > 0) AS expected_call_turns,
+        count(*) FILTER (false_fire) AS false_fires, count(*) FILTER (missed) AS missed_calls, sum(malformed)::BIGINT AS malformed_calls, sum(invalid)::BIGINT AS invalid_calls,
+        count(*) FILTER (truncated) AS truncated_turns, {_SIX} FROM ({_TJ}))""",
+    "turn_report_by_tool": f"SELECT *, {_ALL_RATES} FROM (SELECT name, {_SIX} FROM ({_TP}) GROUP BY 1)",
+    "turn_report_by_branch": f"""SELECT branch, count(*) AS turns, count(*) FILTER (correct) AS correct_turns, count(*) FILTER (false_fire) AS false_fires, count(*) FILTER (missed) AS missed_calls,
+        count(*) FILTER (correct)::DOUBLE / count(*) AS turn_accuracy FROM ({_TJ}) WHERE branch IS NOT NULL GROUP BY 1""",
+    "call_census": "SELECT event_type AS name, count(*) AS n FROM events GROUP BY 1",
+    "tool_checks": """SELECT event_id, CASE WHEN event_type <> 'click' THEN 'unknown tool ' || chr(39) || event_type || chr(39) ELSE concat_ws('; ',
+        CASE WHEN event_id % 3 = 0 THEN 'missing required argument ' || chr(39) || 'v' || chr(39) END,
+        CASE WHEN k NOT IN (1, 2, 3) THEN 'argument ' || chr(39) || 'k' || chr(39) || ' must be one of 1, 2, 3, got ' || k END,
+        CASE WHEN event_id % 3 = 1 THEN 'argument ' || chr(39) || 'v' || chr(39) || ' should be string or null, got bool' END,
+        CASE WHEN event_id % 5 = 0 THEN 'undeclared argument ' || chr(39) || 'x' || chr(39) END) END AS problems
+        FROM (SELECT *, json_extract_string(props, '$.k')::BIGINT AS k FROM events)""",
+    "turn_render": f"""SELECT conv_id, turn AS turn_index, sha256(before || '<|assistant|>⟦' || text || '<|end|>' || chr(10) || '⟧') AS example FROM (
+        SELECT *, coalesce(string_agg(line, '') OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before FROM ({_LINES})) WHERE role = 'assistant'""",
+    "train_rows": f"SELECT conv_id, turn AS turn_index, prompt_tokens + target_tokens AS n_ids, prompt_tokens + target_tokens AS n_mask, prompt_tokens AS n_ignored FROM ({_EX})",
+    "replay_schedule": f"SELECT conv_id, turn, place, place // 4 AS batch FROM (SELECT *, row_number() OVER (ORDER BY prompt_tokens DESC, conv_id, turn) - 1 AS place FROM ({_EX}))",
+    "split_by_source": f"SELECT source, count(*) FILTER (side = 'train') AS train, count(*) FILTER (side = 'eval') AS eval FROM (SELECT doc_id, {_SIDE.format('fp')} AS side FROM ({_DOC_FIRST})) JOIN documents USING (doc_id) GROUP BY 1",
+    "stand_in_formats": f"""SELECT c_custkey, list_extract({list(privacy.FIRST)}, ({_FAKE_N.format('name')} % 16 + 1)::INT) || ' ' || list_extract({list(privacy.LAST)}, ({_FAKE_N.format('name')} // 16 % 16 + 1)::INT) AS name,
+        '+99 900 ' || lpad(({_FAKE_N.format('phone')} % 1000000)::VARCHAR, 6, '0') AS phone, 'XX00TEST' || lpad(({_FAKE_N.format('iban')} % 100000000000000)::VARCHAR, 14, '0') AS iban,
+        '4111' || lpad(({_FAKE_N.format('card_number')} % 1000000000000)::VARCHAR, 12, '0') AS card_number,
+        substr(u, 1, 8) || '-' || substr(u, 9, 4) || '-4' || substr(u, 14, 3) || '-a' || substr(u, 18, 3) || '-' || substr(u, 21, 12) AS uuid FROM (SELECT *, sha256('s:uuid:' || lower(c_name)) AS u FROM customer)""",
     "structure": """SELECT conv_id, CASE WHEN arg_min(role, turn) NOT IN ('system', 'user') THEN 'must open with a system or user message'
         WHEN bool_or(role = 'system' AND turn > 0) THEN 'a system message may only come first' WHEN arg_max(role, turn) <> 'assistant' THEN 'must end with an assistant message'
         WHEN bool_or(role = 'tool') THEN 'tool result without a pending call' END AS error FROM conversations GROUP BY 1""",
@@ -218,9 +356,10 @@ ORACLE_SQL = {
     "stand_ins": "SELECT c_custkey, lpad((('0x' || substr(sha256('s:account_number:' || lower(c_name)), 1, 12))::UBIGINT % 100000000)::VARCHAR, 8, '0') AS account FROM customer",
     "verbatim_leakage": f"""WITH r AS (SELECT text, {_SIDE.format('conv_id::VARCHAR')} AS side FROM conversations WHERE role = 'assistant')
         SELECT count(*) AS leaked FROM r WHERE side = 'eval' AND text IN (SELECT text FROM r WHERE side = 'train')""",
-    "detectors": r"""SELECT kind, sum(n)::BIGINT AS n FROM (SELECT unnest(['email', 'iban', 'uuid', 'card_number', 'account_number']) AS kind,
-        unnest([len(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}')), len(regexp_extract_all(text, '\b[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}\b')),
+    "detectors": r"""SELECT kind, sum(n)::BIGINT AS n FROM (SELECT unnest(['email', 'iban', 'uuid', 'object_id', 'phone', 'card_number', 'account_number']) AS kind,
+        unnest([len(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}')), len(regexp_extract_all(text, '\b[A-Z]{2}[0-9]{2}[A-Z0-9]{10,30}\b')),
         len(regexp_extract_all(text, '\b[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}\b')),
+        len(regexp_extract_all(text, '\b[0-9a-f]{24}\b')), len(regexp_extract_all(text, '\+(?:[0-9][\s-]?){7,14}[0-9]\b')),
         len(list_filter(regexp_extract_all(text, '[0-9.]+'), lambda x: regexp_full_match(x, '[0-9]{13,19}'))),
         len(list_filter(regexp_extract_all(text, '[0-9.]+'), lambda x: regexp_full_match(x, '[0-9]{8}')))]) AS n FROM documents) GROUP BY 1""",
 }

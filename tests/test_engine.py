@@ -45,7 +45,7 @@ def test_check_call():
     tools = [{"type": "function", "function": {"name": "f", "parameters": {"required": ["a"], "properties": {"a": {"type": "integer"}, "b": {"enum": [1]}}}}}]
     assert check_call({"name": "f", "arguments": {"a": 2.0}}, tools) == []
     assert check_call({"name": "f", "arguments": {"a": True}}, tools) == ["argument 'a' should be integer, got bool"]
-    assert check_call({"name": "f", "arguments": {"b": True, "c": 0}}, tools) == ["missing required argument 'a'", "argument 'b' is not one of [1]", "undeclared argument 'c'"]
+    assert check_call({"name": "f", "arguments": {"b": True, "c": 0}}, tools) == ["missing required argument 'a'", "argument 'b' must be one of 1, got True", "undeclared argument 'c'"]
     assert check_call({"name": "g", "arguments": {}}, tools) == ["unknown tool 'g'"]
     assert check_call({"name": "g", "arguments": {}}, []) == []
 
