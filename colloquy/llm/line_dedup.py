@@ -66,18 +66,16 @@ def templates(rows: DataFrame, seen: DataFrame, scratch: Scratch, least_docs: in
     scratch.drop(some)
     # A token at a place of a leaf; 0 stands for a field of digits.
     placed = F.transform("tokens", lambda t, i: F.when(t != 0, F.xxhash64(i, t)).otherwise(F.lit(0).cast("long")))
-    kinds = kinds.withColumn("placed", placed)
-    counts = kinds.select("leaf", "support", "n", F.explode("placed").alias("token")).groupBy("leaf", "token").agg(F.sum("n").alias("c"), F.max("support").alias("support"))
-    constant = counts.where((F.col("c") >= least_docs) & (100 * F.col("c") >= SHARE * F.col("support")))
-    # At most 100 / SHARE constants a place, so the array is bounded by the length of its lines.
-    model = constant.groupBy("leaf").agg(F.collect_list("token").alias("constants"))
-    rows = kinds.join(model, "leaf").withColumn("own", F.array_intersect("placed", "constants"))
-    rows = rows.withColumn("form", F.transform("placed", lambda t: F.when((t == 0) | F.array_contains("own", t), t).otherwise(F.lit(1).cast("long"))))
-    fields = F.size(F.filter("form", lambda t: t == 1))
-    beyond = F.size(F.filter("form", lambda t, i: (i >= LEADING) & (t != 0) & (t != 1)))
-    kept = rows.where((fields > 0) & (2 * fields <= F.size("form")) & (beyond > 0))
-    # Whole lines of a template's leaf that have all its constants and no field stay apart: they recur by themselves.
-    found = kept.select("path", F.xxhash64("leaf", "form").alias("template"))
+    tokens = kinds.select("path", "leaf", "support", "n", F.posexplode(placed).alias("place", "token"))
+    counts = tokens.where("token <> 0").groupBy("leaf", "token").agg(F.sum("n").alias("c"), F.max("support").alias("support"))
+    constant = counts.where((F.col("c") >= least_docs) & (100 * F.col("c") >= SHARE * F.col("support"))).select("leaf", "token", F.lit(True).alias("constant"))
+    tokens = tokens.join(constant, ["leaf", "token"], "left").withColumn("field", F.col("constant").isNull() & (F.col("token") != 0))
+    # Back to lines, in time linear in their tokens; 1 stands for a field of a word.
+    form = F.array_sort(F.collect_list(F.struct("place", F.when(F.col("field"), F.lit(1).cast("long")).otherwise(F.col("token")).alias("token"))))
+    beyond = F.count_if((F.col("place") >= LEADING) & F.col("constant").isNotNull())
+    kept = tokens.groupBy("path", "leaf").agg(form.alias("form"), F.count("*").alias("m"), F.count_if("field").alias("fields"), beyond.alias("beyond"))
+    kept = kept.where("fields > 0 AND 2 * fields <= m AND beyond > 0")
+    found = kept.select("path", F.xxhash64("leaf", F.transform("form", lambda x: x["token"])).alias("template"))
     out = scratch.written(found, "templates")
     scratch.drop(kinds)
     return out
