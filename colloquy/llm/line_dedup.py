@@ -30,15 +30,14 @@ SLOTS = 1 << 20
 
 
 def tree_paths(text: Column, tokens: bool = False) -> Column:
-    """For each line of the text its path (the hash of the masked line) and leaf, null for a blank line; with the hashes of
-    its tokens if asked for."""
+    """For each line of the text its path (the hash of the masked line) and its leaf, or its masked tokens if these are
+    asked for; null for a blank line."""
     masked = F.when(text.rlike("[0-9]"), F.regexp_replace(text, FIELD, "<*>")).otherwise(text)
 
     def parsed(t):
         path = F.xxhash64(F.concat_ws(" ", t))
         leaf = F.xxhash64(F.size(t), F.concat_ws(" ", F.slice(t, 1, LEADING)))
-        more = [F.transform(t, lambda x: F.when(x == "<*>", F.lit(0).cast("long")).otherwise(F.xxhash64(x))).alias("tokens")] if tokens else []
-        return F.when(F.size(t) > 0, F.struct(path.alias("path"), leaf.alias("leaf"), *more))
+        return F.when(F.size(t) > 0, F.struct(path.alias("path"), t.alias("tokens") if tokens else leaf.alias("leaf")))
 
     def line(one):
         return F.transform(F.array(F.filter(F.split(one, "[\\x20\\x09\\x0B-\\x0D]+"), lambda t: t != "")), parsed)[0]
@@ -61,7 +60,8 @@ def templates(rows: DataFrame, seen: DataFrame, scratch: Scratch, least_docs: in
     slot = F.pmod("path", F.lit(SLOTS)).alias("slot")
     lines = rows.select(F.explode(tree_paths(F.col("body"), tokens=True)).alias("line")).where("line IS NOT NULL").select("line.path", "line.tokens")
     lines = lines.withColumn("slot", F.pmod("path", F.lit(SLOTS))).join(F.broadcast(some.select(slot).distinct()), "slot", "left_semi")
-    kinds = lines.groupBy("path").agg(F.first("tokens").alias("tokens")).join(some, "path")
+    hashed = F.transform("tokens", lambda t: F.when(t == "<*>", F.lit(0).cast("long")).otherwise(F.xxhash64(t)))
+    kinds = lines.select("path", hashed.alias("tokens")).groupBy("path").agg(F.first("tokens").alias("tokens")).join(some, "path")
     kinds = scratch.written(kinds, "kinds")
     scratch.drop(some)
     # A token at a place of a leaf; 0 stands for a field of digits.
