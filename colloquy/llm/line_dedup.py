@@ -94,7 +94,8 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     drop = scratch.written(each.join(often, "template").groupBy("row").agg(F.array_sort(F.flatten(F.collect_list("places"))).alias("drop")), "drop")
     scratch.drop(seen, found, each)
     scratch.release()
-    return rows.join(drop, "row", "left").drop("row")
+    # One plan at every size: texts meet their places by a shuffle.
+    return rows.join(drop.hint("merge"), "row", "left").drop("row")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_docs: int = LEAST_DOCS) -> DataFrame:
