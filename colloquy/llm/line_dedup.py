@@ -27,6 +27,8 @@ LEAST_DOCS, LEADING, SHARE = 5, 2, 1
 FIELD = "[^\\x20\\x09-\\x0D]*[0-9][^\\x20\\x09-\\x0D]*"
 #: Slots of the table that goes to all executors: at most so many long values, about 32 MB.
 SLOTS = 1 << 20
+#: Parts in which the rows of a recurring template meet it.
+PARTS = 8
 
 
 def tree_paths(text: Column, tokens: bool = False) -> Column:
@@ -91,7 +93,10 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = seen.join(found, "path", "left").select("row", "places", F.coalesce("template", "path").alias("template"))
     each = scratch.written(named.groupBy("template", "row").agg(F.flatten(F.collect_list("places")).alias("places")), "named")
     often = each.groupBy("template").agg(F.count("*").alias("n")).where(F.col("n") >= least_docs).select("template")
-    drop = scratch.written(each.join(often, "template").groupBy("row").agg(F.array_sort(F.flatten(F.collect_list("places"))).alias("drop")), "drop")
+    # A template that holds a large part of all rows meets them in parts.
+    parts = often.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+    dropped = each.withColumn("part", F.pmod("row", F.lit(PARTS).cast("long"))).join(parts, ["template", "part"])
+    drop = scratch.written(dropped.groupBy("row").agg(F.array_sort(F.flatten(F.collect_list("places"))).alias("drop")), "drop")
     scratch.drop(seen, found, each)
     scratch.release()
     # One plan at every size: texts meet their places by a shuffle.
