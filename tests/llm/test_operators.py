@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -517,3 +518,20 @@ def test_a_checkpoint_folder_is_asked_for_on_a_cluster():
 
     with pytest.raises(ValueError, match="checkpoint"):
         shared.checkpoint_dir(Session)
+
+
+def test_the_quality_filter_leaves_no_texts_behind(spark):
+    """Rows that repeat, without an id or a group, and texts that cannot be compressed; what stays written is a small part."""
+    rng = random.Random(5)
+    text = lambda: " ".join(rng.randbytes(4).hex() for _ in range(400))
+    rows = [(i, text(), "en" if i % 2 else None, None if i % 3 else "s") for i in range(120)]
+    rows += [(1000, "word " * 400, "en", "s"), (1001, "few words", "en", "s"), (1002, None, "en", None), (None, text(), None, None), rows[7], rows[7]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").localCheckpoint()
+    place = shared.checkpoint_dir(spark)
+    held = lambda: sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(place) for f in names)
+    before = held()
+    got = [tuple(r) for r in quality.filter_quality(docs).collect()]
+    assert held() - before < sum(len(r[1] or "") for r in rows) // 10
+    verdict = {r.doc_id: r.kept for r in quality.quality(docs).collect()}
+    assert sorted(map(repr, got)) == sorted(repr(r) for r in rows if verdict[r[0]])
+    assert len(got) == 123 and not {1000, 1001, 1002} & {r[0] for r in got}
