@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .components import components
-from .shared import Roller, Scratch, arrow_bytes, mix, texts, word_hashes, word_spans
+from .shared import Roller, Scratch, arrow_bytes, give_back, mix, texts, word_hashes, word_spans
 
 #: 64-bit words of a parity bitmap, which bounds what two sets can share.
 BITMAP = 16
@@ -79,6 +79,7 @@ def _batches(batches: Iterator, rows: int = 400, size: int = 250_000) -> Iterato
             to = min(max(full, at + 1), at + rows, len(whole))
             yield whole.slice(at, to - at)
             at = to
+    give_back()
 
 
 def _sum_by_row(first: np.ndarray, values: np.ndarray) -> np.ndarray:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +48,33 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 1_000, size: int = 4 << 20) -> Iterator[None]:
+    """What runs meanwhile hands Python batches of few rows and about ``size`` bytes; a longer row is a batch of its own. By
+    Spark's settings a batch has 10,000 rows, whose texts lie several times over in an executor and its Python worker."""
+    bounds = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {k: spark.conf.get(k, None) for k in bounds}
+    try:
+        for k, v in bounds.items():
+            spark.conf.set(k, str(v))
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker outlives its task and would hold it beside later ones."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class Scratch:
     """Tables of one operator run in the shared folder; what has been superseded is deleted at once."""
 
@@ -55,7 +85,8 @@ class Scratch:
     def written(self, df: DataFrame, label: str) -> DataFrame:
         path = shared_path(self.spark, label)
         schema = df.schema
-        df.write.parquet(path)
+        with small_batches(self.spark):
+            df.write.parquet(path)
         out = self.spark.read.schema(schema).parquet(path)
         self.at[id(out)] = (out, path)
         return out

@@ -535,3 +535,36 @@ def test_the_quality_filter_leaves_no_texts_behind(spark):
     verdict = {r.doc_id: r.kept for r in quality.quality(docs).collect()}
     assert sorted(map(repr, got)) == sorted(repr(r) for r in rows if verdict[r[0]])
     assert len(got) == 123 and not {1000, 1001, 1002} & {r[0] for r in got}
+
+
+def test_ngram_join_hands_python_small_batches(spark, monkeypatch):
+    """Texts reach Python in batches bounded by rows and bytes, and the session's own settings stay."""
+
+    def bounded(make):
+        def made(*args):
+            run = make(*args)
+
+            def checked(batches):
+                def each():
+                    for batch in batches:
+                        if batch.num_rows > 1_000 or batch.nbytes > 5 << 20:
+                            raise ValueError(f"batch of {batch.num_rows} rows, {batch.nbytes} bytes")
+                        yield batch
+
+                return run(each())
+
+            return checked
+
+        return made
+
+    for name in ("_counted", "_signed", "_sets", "_totals"):
+        monkeypatch.setattr(ngram_join, name, bounded(getattr(ngram_join, name)))
+    rows = [(i, f"a{i % 1300} b c d e f g h {i % 7}") for i in range(2_600)] + [(5_000 + i, f"{i} " + "x" * 300_000) for i in range(40)]
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, "7000")
+    try:
+        got = ngram_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+        assert spark.conf.get(key) == "7000" and spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None
+    finally:
+        spark.conf.unset(key)
+    assert sorted(map(tuple, got)) == brute_components(rows, 5, 80)
